@@ -1,0 +1,5 @@
+"""Empty on purpose: every input of this job is a bounded batch table.
+
+There is no watermark, window or state to express, so no streaming operator
+is offered (see README, "Not built").
+"""
