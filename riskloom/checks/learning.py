@@ -11,7 +11,7 @@ from riskloom.operators.models import (
 from riskloom.operators.sampling import hash_fold, holdout_split, negative_bags, sample_weights
 from riskloom.operators.scoring import bag_average, fold_gate_average
 from riskloom.operators.terms import term_vector, top_terms
-from riskloom.session import stage
+from riskloom.session import spread, stage
 
 FEATURES = ["n_chars", "lang_encoder", "source_encoder"]
 SMALL = Trees(rounds=5, step=0.1, depth=3, bins=32)
@@ -68,7 +68,7 @@ def parameter_search(spark, sf_dir):
 @query()
 def term_stacking_score(spark, sf_dir):
     """Frequent terms as 0/1 features, a linear model, and its out-of-fold score for every text."""
-    texts = table(spark, sf_dir, "documents").select("doc_id", "text").join(
+    texts = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id").join(
         table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
     vocabulary = [row["term"] for row in top_terms(texts, F.col("text"), 200).collect()]  # 200 rows by design
     rows = term_vector(texts, F.col("text"), vocabulary, "features").drop("text").withColumn(

@@ -3,19 +3,25 @@
 from pyspark.sql import functions as F
 
 from riskloom.checks import query, table
-from riskloom.functions.text import HAN, TOKEN_RUN, tokenize
+from riskloom.functions.text import HAN, tokenize
 from riskloom.operators.terms import (
     VECTOR_SIZE, document_vectors, fit_word_vectors, term_frequencies, term_indicators, top_terms)
-from riskloom.session import stage
+from riskloom.session import spread
 
-RUNS_SQL = f"regexp_extract_all(text, '{TOKEN_RUN}')"
+# Runs between ASCII characters that are no letter or digit, and CJK punctuation.
+SPLIT = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F，。、；：！？（）【】《》“”‘’·…—　"
+RUNS_SQL = f"regexp_extract_all(text, '[{HAN}]+|[^{SPLIT}{HAN}]+')"
 LATIN, IDEOGRAPHS = "etaoinsrhl", "中文企业销售机电设备"
 
 
+def documents(spark, sf_dir):
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+
+
 @query(f"SELECT doc_id, len({RUNS_SQL}) AS n_terms, md5(array_to_string({RUNS_SQL}, ' ')) AS terms_md5 FROM documents")
 def tokenize_terms(spark, sf_dir):
     """All terms of every text, in order; the list is compared by its digest."""
-    terms = table(spark, sf_dir, "documents").select("doc_id", tokenize(F.col("text")).alias("t"))
+    terms = documents(spark, sf_dir).select("doc_id", tokenize(F.col("text")).alias("t"))
     return terms.select("doc_id", F.size("t").cast("bigint").alias("n_terms"),
                         F.md5(F.array_join("t", " ").cast("binary")).alias("terms_md5"))
 
@@ -40,14 +46,14 @@ SELECT term, count(*) AS tf, count(DISTINCT doc_id) AS df
 FROM (SELECT doc_id, unnest({RUNS_SQL}) AS term FROM documents) GROUP BY 1
 """)
 def term_frequency(spark, sf_dir):
-    return term_frequencies(table(spark, sf_dir, "documents"), F.col("text"))
+    return term_frequencies(documents(spark, sf_dir), F.col("text"))
 
 
 @query(f"""
 SELECT term, count(*) AS tf FROM (SELECT unnest({RUNS_SQL}) AS term FROM documents) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 50
 """)
 def term_frequency_topk(spark, sf_dir):
-    return top_terms(table(spark, sf_dir, "documents"), F.col("text"), 50)
+    return top_terms(documents(spark, sf_dir), F.col("text"), 50)
 
 
 @query(f"""
@@ -59,16 +65,17 @@ FROM t, v
 """)
 def term_indicator_columns(spark, sf_dir):
     """0/1 columns of the most frequent terms."""
-    documents = table(spark, sf_dir, "documents")
-    vocabulary = [row["term"] for row in top_terms(documents, F.col("text"), 20).collect()]  # 20 rows by design
-    return term_indicators(documents, ["doc_id"], F.col("text"), vocabulary)
+    texts = documents(spark, sf_dir)
+    vocabulary = [row["term"] for row in top_terms(texts, F.col("text"), 20).collect()]  # 20 rows by design
+    return term_indicators(texts, ["doc_id"], F.col("text"), vocabulary)
 
 
 @query()
 def w2v_text_features(spark, sf_dir):
     """Word vectors trained on all texts, ten mean-vector columns per text."""
-    texts = table(spark, sf_dir, "documents").select("doc_id", "text").unionByName(
-        table(spark, sf_dir, "pages").select(F.col("page_id").alias("doc_id"), F.col("html").alias("text")))
-    model = fit_word_vectors(texts, F.col("text"), iterations=1)
+    texts = documents(spark, sf_dir)
+    every = texts.select("text").unionByName(table(spark, sf_dir, "benchmark").select("text")).unionByName(
+        table(spark, sf_dir, "conversations").select("text"))
+    model = fit_word_vectors(every, F.col("text"), iterations=1)
     names = [f"text_array_{i}_fea" for i in range(VECTOR_SIZE)]
-    return document_vectors(table(spark, sf_dir, "documents").select("doc_id", "text"), model, F.col("text"), names).drop("text")
+    return document_vectors(texts, model, F.col("text"), names).drop("text")

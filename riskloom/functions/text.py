@@ -8,11 +8,13 @@ from pyspark.sql import Column, functions as F
 ID_DOCUMENT_SYNONYMS = {"居民身份证": "身份证"}
 
 FULL_WIDTH_DIGITS = "０１２３４５６７８９"
-HAN = "一-鿿"
+# The first and the last Han character of the basic block.
+HAN_FIRST, HAN_LAST = "一", "鿿"
+HAN = f"{HAN_FIRST}-{HAN_LAST}"
 # Every ASCII character that is no letter or digit, and common CJK punctuation.
-SEPARATORS = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F，。、；：！？（）【】《》“”‘’·…—　"
-# One run of Han characters, or one run of anything else between separators.
-TOKEN_RUN = f"[{HAN}]+|[^{SEPARATORS}{HAN}]+"
+SEPARATORS = "".join(chr(i) for i in range(128) if not chr(i).isalnum()) + "，。、；：！？（）【】《》“”‘’·…—　"
+# One run of Han characters, or one run of anything else between spaces.
+RUN = f"[{HAN}]+|[^ {HAN}]+"
 
 
 def prefix(text: Column, length: int) -> Column:
@@ -51,13 +53,17 @@ def tokenize(text: Column, ngram: int = 2) -> Column:
     longer than ``ngram`` gives its overlapping ``ngram``-character pieces,
     which stand in for a dictionary segmenter.
     """
-    runs = F.regexp_extract_all(text, F.lit(TOKEN_RUN), F.lit(0))
+    spaced = F.translate(text, SEPARATORS, " " * len(SEPARATORS))
+    words = F.array_remove(F.split(spaced, " "), "")
+    runs = F.regexp_extract_all(spaced, F.lit(RUN), F.lit(0))
 
     def pieces(run: Column) -> Column:
         grams = F.transform(
             F.sequence(F.lit(1), F.length(run) - ngram + 1),
             lambda start: F.substr(run, start, F.lit(ngram)),
         )
-        return F.when(run.rlike(f"^[{HAN}]") & (F.length(run) > ngram), grams).otherwise(F.array(run))
+        is_han = (run >= HAN_FIRST) & (run < chr(ord(HAN_LAST) + 1))
+        return F.when(is_han & (F.length(run) > ngram), grams).otherwise(F.array(run))
 
-    return F.flatten(F.transform(runs, pieces))
+    # Text without Han characters needs neither the runs nor the pieces.
+    return F.when(text.rlike(f"[{HAN}]"), F.flatten(F.transform(runs, pieces))).otherwise(words)

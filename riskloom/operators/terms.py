@@ -9,6 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.functions.text import tokenize
+from riskloom.session import stage
 
 # Settings of the word-vector training.
 VECTOR_SIZE = 10
@@ -22,14 +23,17 @@ MAX_WORDS = 5_000_000
 
 
 def term_frequencies(df: DataFrame, text: Column, ngram: int = 2) -> DataFrame:
-    """``term, tf, df``: occurrences and texts of every term, pre-aggregated per task."""
-    terms = df.select(tokenize(text, ngram).alias("_terms"))
-    counted = (
-        terms.select(F.explode("_terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("tf")))
-    spread = (
-        terms.select(F.explode(F.array_distinct("_terms")).alias("term")).groupBy("term")
-        .agg(F.count(F.lit(1)).alias("df")))
-    return counted.join(spread, "term")
+    """``term, tf, df``: occurrences and texts of every term, in one grouping.
+
+    A text's terms are sorted inside its row, so that the first of equal terms
+    can be marked; tasks then add up occurrences and marks before the shuffle.
+    """
+    ordered = df.select(F.array_sort(tokenize(text, ngram)).alias("_terms"))
+    marked = F.transform("_terms", lambda term, i: F.struct(
+        term.alias("term"),
+        F.when((i > 0) & (F.get("_terms", i - 1) == term), 0).otherwise(1).alias("first")))
+    return ordered.select(F.inline(marked)).groupBy("term").agg(
+        F.count(F.lit(1)).alias("tf"), F.sum("first").alias("df"))
 
 
 def top_terms(df: DataFrame, text: Column, k: int, ngram: int = 2) -> DataFrame:
@@ -62,7 +66,7 @@ def fit_word_vectors(df: DataFrame, text: Column, partitions: int | None = None,
     each iteration; ``partitions`` defaults to the shuffle parallelism.
     """
     spark = df.sparkSession
-    tokens = df.filter(text.isNotNull()).select(tokenize(text, ngram).alias("terms"))
+    tokens = stage(df.filter(text.isNotNull()).select(tokenize(text, ngram).alias("terms")), "word-vector-terms")
     words = (
         tokens.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("tf"))
         .filter(F.col("tf") >= min_count).count())

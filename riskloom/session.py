@@ -74,3 +74,14 @@ def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataF
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread a scan over all cores before heavy work per row, if it has fewer splits.
+
+    A small file can be a single row group, which one task reads alone. Inputs
+    with at least as many splits as the cluster has cores pass unchanged, so
+    large tables are never shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
