@@ -10,9 +10,15 @@ SCORE_COLUMNS = ("EID", "FORTARGET1", "FORTARGET2")
 
 
 def write_tables(tables: Mapping[str, DataFrame], root: str) -> None:
-    """One-time ingest: raw tables to Parquet, split into train and test folders."""
+    """One-time ingest: raw tables to Parquet.
+
+    ``split`` stays an ordinary column. Every join of the feature plan has it
+    in its key, and as a folder name it would make the planner nest one pruning
+    subquery per join. Each file still holds one split, so its statistics
+    prune a filter on ``split`` all the same.
+    """
     for name, df in tables.items():
-        df.write.mode("overwrite").partitionBy("split").parquet(f"{root}/{name}")
+        df.write.mode("overwrite").parquet(f"{root}/{name}")
 
 
 def write_features(df: DataFrame, path: str, kind: str = "parquet") -> None:
