@@ -1,9 +1,11 @@
 """Text."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from riskloom.checks import query, table
-from riskloom.functions.text import HAN, tokenize
+from riskloom.functions.text import HAN, tokenize, user_tokenizer
 from riskloom.operators.terms import (
     VECTOR_SIZE, document_vectors, fit_word_vectors, term_frequencies, term_indicators, top_terms)
 from riskloom.session import spread
@@ -41,6 +43,19 @@ def tokenize_ideographs(spark, sf_dir):
                         F.md5(F.array_join("t", " ").cast("binary")).alias("terms_md5"))
 
 
+@query("""
+SELECT conv_id, turn, len(t) AS n_terms, md5(array_to_string(t, ' ')) AS terms_md5
+FROM (SELECT conv_id, turn, regexp_extract_all(text, '[A-Za-z]+') AS t FROM conversations)
+""")
+def tokenize_with_user_function(spark, sf_dir):
+    """Terms from a Python function on one text, applied in Arrow batches."""
+    letters = re.compile("[A-Za-z]+")
+    terms = table(spark, sf_dir, "conversations").select(
+        "conv_id", "turn", user_tokenizer(letters.findall)(F.col("text")).alias("t"))
+    return terms.select("conv_id", "turn", F.size("t").cast("bigint").alias("n_terms"),
+                        F.md5(F.array_join("t", " ").cast("binary")).alias("terms_md5"))
+
+
 @query(f"""
 SELECT term, count(*) AS tf, count(DISTINCT doc_id) AS df
 FROM (SELECT doc_id, unnest({RUNS_SQL}) AS term FROM documents) GROUP BY 1

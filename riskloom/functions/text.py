@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+
+import pandas as pd
 from pyspark.sql import Column, functions as F
 
 # Identity-card wording, both meaning the same document.
@@ -67,3 +70,16 @@ def tokenize(text: Column, ngram: int = 2) -> Column:
 
     # Text without Han characters needs neither the runs nor the pieces.
     return F.when(text.rlike(f"[{HAN}]"), F.flatten(F.transform(runs, pieces))).otherwise(words)
+
+
+def user_tokenizer(cut: Callable[[str], Iterable[str]]) -> Callable[[Column], Column]:
+    """A tokenizer from a function on one text, such as a dictionary segmenter.
+
+    The texts travel in Arrow batches; null stays null.
+    """
+
+    @F.pandas_udf("array<string>")
+    def tokens(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda text: list(cut(text)), na_action="ignore")
+
+    return tokens

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from riskloom.operators.joins import with_key
+
 
 @dataclass(frozen=True)
 class Feature:
@@ -60,7 +62,7 @@ def entity_features(df: DataFrame, key: Sequence[str], features: Sequence[Featur
     without a key never reach the shuffle. ``approx`` swaps exact distinct
     counts for sketches, which need no second grouping.
     """
-    return df.dropna(subset=list(key)).groupBy(*key).agg(*[_expression(f, approx) for f in features])
+    return with_key(df, key).groupBy(*key).agg(*[_expression(f, approx) for f in features])
 
 
 def fills(features: Sequence[Feature]) -> dict[str, object]:

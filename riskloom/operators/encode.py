@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from functools import reduce
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from riskloom.operators.joins import attach, lookup
+from riskloom.operators.joins import attach, lookup, with_key
 from riskloom.operators.ordering import ordered_values
 from riskloom.session import stage
 
@@ -94,7 +93,7 @@ def category_code_stats(df: DataFrame, key: Sequence[str], column: str, prefix:
     and the statistics are put together from the counts.
     """
     codes = ordinal_dictionary(df, [column])
-    cells = df.dropna(subset=[*key, column]).groupBy(*key, F.col(column).cast("string").alias("value")) \
+    cells = with_key(df, [*key, column]).groupBy(*key, F.col(column).cast("string").alias("value")) \
         .agg(F.count(F.lit(1)).alias("_times"))
     coded = lookup(cells, codes.select("value", "code"), ["value"], spread_by=key, how="inner")
     code, times = F.col("code"), F.col("_times")

@@ -27,9 +27,14 @@ def attach(spine: DataFrame, tables: Sequence[DataFrame], key: Sequence[str],
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in fill.items()})
 
 
+def with_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The rows whose key columns are all present; the filter reaches the scan."""
+    return df.filter(reduce(Column.__and__, [F.col(c).isNotNull() for c in key]))
+
+
 def distinct_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     """The non-null keys of a table, each once."""
-    return df.select(*key).dropna().distinct()
+    return with_key(df, key).select(*key).distinct()
 
 
 def membership_flags(spine: DataFrame, sets: Mapping[str, DataFrame], key: Sequence[str]) -> DataFrame:
@@ -38,7 +43,7 @@ def membership_flags(spine: DataFrame, sets: Mapping[str, DataFrame], key: Seque
     ``sets`` maps a flag name to a table holding the key columns. Repeated
     keys change nothing; a null key never matches.
     """
-    tagged = [df.select(*key, F.lit(flag).alias("_flag")).dropna() for flag, df in sets.items()]
+    tagged = [with_key(df, key).select(*key, F.lit(flag).alias("_flag")) for flag, df in sets.items()]
     flags = (
         reduce(DataFrame.unionByName, tagged)
         .groupBy(*key)
@@ -61,26 +66,30 @@ def lookup(rows: DataFrame, table: DataFrame, on: Sequence[str], spread_by: Sequ
     of the key columns alone). ``how`` is left, inner, left_semi or left_anti.
     """
     keys = list(on)
+    row_types, table_types = dict(rows.dtypes), dict(table.dtypes)
+    if any(row_types[k] != table_types[k] for k in keys):
+        raise TypeError("cast the keys to one type first: equal values of two types hash differently")
     taken = [c for c in table.columns if c not in keys and c != weight]
     if weight:
         counts = table.select(*keys, F.col(weight).alias("_n"))
     else:
-        counts = rows.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        counts = with_key(rows, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n")).scalar()
     hot_keys = counts.filter(F.col("_n") * slots > total).select(*keys, F.lit(True).alias("_hot"))
 
+    # The salt is mixed into a hash of the key, because a join on a constant
+    # salt would be rewritten to a filter and the rows placed by the key alone.
     marked = table.join(F.broadcast(hot_keys), keys, "left")
     hot = marked.filter("_hot").select(*keys, *[F.col(c).alias(f"_hot_{c}") for c in taken], F.lit(1).alias("_found_hot"))
-    cold = marked.filter("_hot IS NULL").select(*keys, *[F.col(c).alias(f"_cold_{c}") for c in taken],
-                                                F.lit(0).alias("_salt"), F.lit(1).alias("_found_cold"))
+    cold = marked.filter("_hot IS NULL").select(
+        *keys, F.xxhash64(*keys, F.lit(0)).alias("_place"), *[F.col(c).alias(f"_cold_{c}") for c in taken],
+        F.lit(1).alias("_found_cold"))
 
     spread = F.pmod(F.xxhash64(*spread_by), F.lit(slots)).cast("int") + 1
     null_key = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
-    salted = (
-        rows.join(F.broadcast(hot), keys, "left")
-        .withColumn("_salt", F.when(F.col("_found_hot").isNotNull() | null_key, spread).otherwise(0))
-    )
-    joined = salted.join(cold, [*keys, "_salt"], "left")
+    salt = F.when(F.col("_found_hot").isNotNull() | null_key, spread).otherwise(0)
+    placed = rows.join(F.broadcast(hot), keys, "left").withColumn("_place", F.xxhash64(*keys, salt))
+    joined = placed.join(cold, ["_place", *keys], "left")
     found = F.coalesce(F.col("_found_hot"), F.col("_found_cold")).isNotNull()
     if how in ("inner", "left_semi"):
         joined = joined.filter(found)

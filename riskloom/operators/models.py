@@ -124,8 +124,7 @@ def out_of_fold(fit: Callable[[DataFrame], Model], train: DataFrame, test: DataF
         held = part if held is None else held.unionByName(part)
     scored = test
     for i, model in enumerate(models):
-        extra = [c for c in model.transform(scored.limit(0)).columns if c not in scored.columns]
-        scored = model.transform(scored).withColumn(f"_p{i}", probability()).drop(*extra)
+        scored = model.transform(scored).select(*scored.columns, probability().alias(f"_p{i}"))
     mean = sum((F.col(f"_p{i}") for i in range(1, folds)), F.col("_p0")) / folds
     return held, scored.select(*key, mean.alias(name))
 

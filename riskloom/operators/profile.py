@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.operators.encode import melt
-from riskloom.operators.joins import attach, distinct_keys, lookup
+from riskloom.operators.joins import attach, distinct_keys, with_key
 
 
 def profile_columns(df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
@@ -54,7 +54,7 @@ def same_meaning(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """``left, right, is_same``: 1 when two columns name each other one to one."""
     names = [F.struct(F.lit(a).alias("left"), F.lit(b).alias("right"),
                       F.col(a).cast("string").alias("a"), F.col(b).cast("string").alias("b")) for a, b in pairs]
-    values = df.select(F.inline(F.array(*names))).dropna(subset=["a", "b"]).distinct()
+    values = df.select(F.inline(F.array(*names))).filter("a IS NOT NULL AND b IS NOT NULL").distinct()
     counts = values.groupBy("left", "right").agg(
         F.count(F.lit(1)).alias("n"), F.count_distinct("a").alias("n_a"), F.count_distinct("b").alias("n_b"))
     same = (F.col("n") == F.col("n_a")) & (F.col("n") == F.col("n_b"))
@@ -63,7 +63,7 @@ def same_meaning(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
 
 def _presence(tables: Mapping[str, DataFrame], key: Sequence[str]) -> DataFrame:
     """One row per key with one 0/1 column per table it occurs in."""
-    tagged = [df.select(*key, F.lit(name).alias("_table")).dropna() for name, df in tables.items()]
+    tagged = [with_key(df, key).select(*key, F.lit(name).alias("_table")) for name, df in tables.items()]
     return reduce(DataFrame.unionByName, tagged).groupBy(*key).agg(*[
         F.max(F.when(F.col("_table") == name, 1).otherwise(0)).alias(name) for name in tables])
 
@@ -99,8 +99,8 @@ def target_rate(detail: DataFrame, labels: DataFrame, key: Sequence[str], catego
     row per pair and an entity with very many rows costs no more than another.
     Rows without a label count in ``n_rows`` and not in the mean.
     """
-    cells = detail.groupBy(*key, *category).agg(F.count(F.lit(1)).alias("_n"))
-    labelled = cells.join(labels.select(*key, label), list(key), "left").dropna(subset=list(category))
+    cells = with_key(detail, category).groupBy(*key, *category).agg(F.count(F.lit(1)).alias("_n"))
+    labelled = cells.join(labels.select(*key, label), list(key), "left")
     hits = F.sum(F.col(label) * F.col("_n"))
     known = F.sum(F.when(F.col(label).isNotNull(), F.col("_n")))
     return labelled.groupBy(*category).agg(

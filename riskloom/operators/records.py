@@ -11,11 +11,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from riskloom.operators.joins import with_key
+
 
 def _best(df: DataFrame, key: Sequence[str], order: Sequence[Column], columns: Sequence[str]) -> DataFrame:
     window = Window.partitionBy(*key).orderBy(*order)
     return (
-        df.dropna(subset=list(key))
+        with_key(df, key)
         .withColumn("_row_rank", F.row_number().over(window))
         .filter("_row_rank = 1")
         .select(*key, *columns)

@@ -8,10 +8,10 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskloom.operators.joins import lookup
 from riskloom.operators.ordering import ordered_values
 
 HASH_RANGE = 1 << 32
@@ -98,7 +98,7 @@ def bootstrap_counts(key: Sequence[str], fraction: float, seed: int) -> Column:
         k += 1
         term *= fraction / k
     hashed = key_hash(key, seed)
-    return F.size(F.filter(F.array(*[F.lit(b).cast("bigint") for b in bounds]), lambda b: b <= hashed))
+    return reduce(Column.__add__, [F.when(hashed >= bound, 1).otherwise(0) for bound in bounds])
 
 
 def bootstrap_sample(df: DataFrame, key: Sequence[str], fraction: float, seed: int) -> DataFrame:

@@ -7,9 +7,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskloom.operators.encode import melt
 from riskloom.operators.joins import lookup
 from riskloom.operators.ordering import ordered_values
+from riskloom.session import stage
 
 # Divisors of the score adjustment rules.
 ABNORMAL_DIVISOR = 1.5
@@ -88,9 +88,10 @@ def rank_fusion(df: DataFrame, key: Sequence[str], weights: Mapping[str, float],
     """
     cells = df.select(*key, F.inline(F.array(*[
         F.struct(F.lit(m).alias("_model"), F.col(m).cast("double").alias("_score")) for m in weights])))
-    values = ordered_values(cells, ["_model"], "_score")
-    ranks = values.select("_model", "_score", "n", (F.col("before_n") + 1).alias("_rank"))
-    ranked = lookup(cells, ranks, ["_model", "_score"], spread_by=[*key, "_model"], weight="n", how="inner")
+    values = stage(
+        ordered_values(cells, ["_model"], "_score").select(
+            "_model", "_score", "n", (F.col("before_n") + 1).alias("_rank")), "score-ranks")
+    ranked = lookup(cells, values, ["_model", "_score"], spread_by=[*key, "_model"], weight="n", how="inner")
     # One row per model: the number of ranked rows.
     rows = values.groupBy("_model").agg(F.sum("n").alias("_rows"))
     weight = F.element_at(F.create_map(*[F.lit(part) for m, w in weights.items() for part in (m, float(w))]), F.col("_model"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml.feature import CountVectorizerModel, Word2Vec, Word2VecModel
 from pyspark.ml.functions import vector_to_array
@@ -11,6 +11,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from riskloom.functions.text import tokenize
 from riskloom.session import stage
 
+# Turns a text column into an array of terms.
+Tokenizer = Callable[[Column], Column]
+
 # Settings of the word-vector training.
 VECTOR_SIZE = 10
 WINDOW = 5
@@ -22,13 +25,13 @@ SEED = 0
 MAX_WORDS = 5_000_000
 
 
-def term_frequencies(df: DataFrame, text: Column, ngram: int = 2) -> DataFrame:
+def term_frequencies(df: DataFrame, text: Column, tokens: Tokenizer = tokenize) -> DataFrame:
     """``term, tf, df``: occurrences and texts of every term, in one grouping.
 
     A text's terms are sorted inside its row, so that the first of equal terms
     can be marked; tasks then add up occurrences and marks before the shuffle.
     """
-    ordered = df.select(F.array_sort(tokenize(text, ngram)).alias("_terms"))
+    ordered = df.select(F.array_sort(tokens(text)).alias("_terms"))
     marked = F.transform("_terms", lambda term, i: F.struct(
         term.alias("term"),
         F.when((i > 0) & (F.get("_terms", i - 1) == term), 0).otherwise(1).alias("first")))
@@ -36,56 +39,55 @@ def term_frequencies(df: DataFrame, text: Column, ngram: int = 2) -> DataFrame:
         F.count(F.lit(1)).alias("tf"), F.sum("first").alias("df"))
 
 
-def top_terms(df: DataFrame, text: Column, k: int, ngram: int = 2) -> DataFrame:
+def top_terms(df: DataFrame, text: Column, k: int, tokens: Tokenizer = tokenize) -> DataFrame:
     """The ``k`` most frequent terms, ties by the term; the report is cut to ``k`` by design."""
-    terms = df.select(F.explode(tokenize(text, ngram)).alias("term"))
+    terms = df.select(F.explode(tokens(text)).alias("term"))
     return terms.groupBy("term").agg(F.count(F.lit(1)).alias("tf")).orderBy(F.col("tf").desc(), "term").limit(k)
 
 
 def term_indicators(df: DataFrame, keep: Sequence[str], text: Column, vocabulary: Sequence[str],
-                    prefix: str = "has_", ngram: int = 2) -> DataFrame:
+                    prefix: str = "has_", tokens: Tokenizer = tokenize) -> DataFrame:
     """One 0/1 column per vocabulary term; a missing text has none of them."""
-    tokens = df.select(*keep, tokenize(text, ngram).alias("_terms"))
-    return tokens.select(*keep, *[
+    terms = df.select(*keep, tokens(text).alias("_terms"))
+    return terms.select(*keep, *[
         F.when(F.array_contains("_terms", term), 1).otherwise(0).alias(f"{prefix}{i}")
         for i, term in enumerate(vocabulary)])
 
 
-def term_vector(df: DataFrame, text: Column, vocabulary: Sequence[str], name: str, ngram: int = 2) -> DataFrame:
+def term_vector(df: DataFrame, text: Column, vocabulary: Sequence[str], name: str, tokens: Tokenizer = tokenize) -> DataFrame:
     """The same indicators as one sparse ML vector, for linear models."""
-    marked = df.withColumn("_terms", F.coalesce(tokenize(text, ngram), F.array().cast("array<string>")))
+    marked = df.withColumn("_terms", F.coalesce(tokens(text), F.array().cast("array<string>")))
     model = CountVectorizerModel.from_vocabulary(list(vocabulary), inputCol="_terms", outputCol=name)
     return model.setBinary(True).transform(marked).drop("_terms")
 
 
 def fit_word_vectors(df: DataFrame, text: Column, partitions: int | None = None, iterations: int = 5,
-                     min_count: int = MIN_COUNT, ngram: int = 2) -> Word2VecModel:
+                     min_count: int = MIN_COUNT, tokens: Tokenizer = tokenize) -> Word2VecModel:
     """Train word vectors (skip-gram, hierarchical softmax) on every non-null text.
 
     Every partition trains on its own share and the vectors are averaged after
-    each iteration; ``partitions`` defaults to the shuffle parallelism.
+    each iteration; ``partitions`` defaults to the number of cores.
     """
-    spark = df.sparkSession
-    tokens = stage(df.filter(text.isNotNull()).select(tokenize(text, ngram).alias("terms")), "word-vector-terms")
+    terms = stage(df.filter(text.isNotNull()).select(tokens(text).alias("terms")), "word-vector-terms")
     words = (
-        tokens.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("tf"))
+        terms.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("tf"))
         .filter(F.col("tf") >= min_count).count())
     if words > MAX_WORDS:
         raise ValueError(f"{words} words occur {min_count} times; raise min_count, at most {MAX_WORDS} fit")
     trainer = Word2Vec(
         vectorSize=VECTOR_SIZE, windowSize=WINDOW, minCount=min_count, seed=SEED, maxIter=iterations,
-        numPartitions=partitions or int(spark.conf.get("spark.sql.shuffle.partitions")),
+        numPartitions=partitions or df.sparkSession.sparkContext.defaultParallelism,
         inputCol="terms", outputCol="vector")
-    return trainer.fit(tokens)
+    return trainer.fit(terms)
 
 
 def document_vectors(df: DataFrame, model: Word2VecModel, text: Column, names: Sequence[str],
-                     ngram: int = 2) -> DataFrame:
+                     tokens: Tokenizer = tokenize) -> DataFrame:
     """Mean word vector of each text as scalar columns; no text gives zeros.
 
     Unknown words count as zero vectors: the sum is divided by all terms.
     """
-    marked = df.withColumn("_terms", F.coalesce(tokenize(text, ngram), F.array().cast("array<string>")))
+    marked = df.withColumn("_terms", F.coalesce(tokens(text), F.array().cast("array<string>")))
     model = model.copy().setInputCol("_terms").setOutputCol("_vector")
     arrays = model.transform(marked).withColumn("_array", vector_to_array("_vector"))
     return arrays.withColumns({n: F.get("_array", F.lit(i)) for i, n in enumerate(names)}).drop(

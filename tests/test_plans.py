@@ -197,3 +197,32 @@ def test_job_steps(spark, raw, tmp_path):
     small = Trees(1, 0.1, 2, bins=32)
     job.score(spark, tables, target, str(tmp_path / "scores"), Settings(bags=2, folds=2, a1=small, a2=small, b1=small, b2=small))
     assert read_scores(spark, str(tmp_path / "scores")).count() == spark.read.parquet(target).filter("split = 'test'").count()
+
+
+def test_reports(spark, tables, expected):
+    from riskloom.plans import reports
+
+    base = expected["train", "base"]
+    shares = {r["table_name"]: r for r in reports.coverage(tables).collect()}
+    for table in ("branch", "registration", "revocation", "recruitment"):
+        known = len(set(base) & set(expected["train", table]))
+        assert shares[table]["n_entities"] == known and abs(shares[table]["share"] - known / len(base)) < 1e-12
+    overlap = {r["combination"]: r["n_keys"] for r in reports.overlap_with_targets(tables).collect()}
+    listed, taxed = expected["train", "dishonest"], expected["train", "tax"]
+    assert overlap["tax&dishonest"] == len(set(listed) & set(taxed))
+    province = {n for n, rows in base.items() if rows[0]["zsszdsf"] == "江苏省"}
+    assert overlap["province&registration&dishonest"] == len(province & set(listed) & set(expected["train", "registration"]))
+
+    rates = {(r["table_name"], r["value"]): r for r in reports.target_rates(tables).collect() if r["category"] == "shdw"}
+    for value in {row["shdw"] for s in SPLITS for rows in expected[s, "tax"].values() for row in rows} - {None}:
+        hits = [(s, n) for s in SPLITS for n, rows in expected[s, "tax"].items() for row in rows if row["shdw"] == value]
+        marked = [int(n in expected.get((s, "dishonest"), {})) for s, n in hits if n in expected[s, "base"]]
+        row = rates["tax", value]
+        assert (row["n_rows"], row["is_shixin_sum"]) == (len(hits), sum(marked))
+        assert abs(row["is_shixin_mean"] - sum(marked) / len(marked)) < 1e-12
+
+    assert sum(r["n_rows"] for r in reports.balance(tables).collect()) == sum(len(expected[s, "base"]) for s in SPLITS)
+    assert reports.branch_names(tables, "fz").count() == tables["branch"].filter("fzqymc IS NOT NULL").count()
+    profile = {r["column"]: r for r in reports.profile(tables, "tax").collect()}
+    assert profile["shdw"]["n_present"] == tables["tax"].filter("shdw IS NOT NULL").count()
+    assert {r["reason"] for r in reports.columns_to_drop(tables, "tax").collect()} <= {"sparse", "constant", "same meaning"}
