@@ -8,8 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-MICROS_PER_DAY = 86_400_000_000
-
 
 def parse_timestamp(text: Column) -> Column:
     """Free-form date text to ``timestamp_ntz``; null when it is no date.
@@ -25,7 +23,7 @@ def parse_timestamp(text: Column) -> Column:
 
 def parse_day(text: Column) -> Column:
     """Only the date part: the first ten characters, time of day dropped."""
-    return F.date_trunc("DAY", parse_timestamp(F.substring(F.trim(text), 1, 10))).cast("timestamp_ntz")
+    return parse_timestamp(F.substring(F.trim(text), 1, 10)).cast("date").cast("timestamp_ntz")
 
 
 def parse_slash_date(text: Column) -> Column:
@@ -46,9 +44,10 @@ def date_parts(date: Column, prefix: str) -> dict[str, Column]:
 def day_gap(start: Column, end: Column) -> Column:
     """Whole days from ``start`` to ``end``, rounded down; null if either is.
 
-    One hour backwards is -1 day, which ``datediff`` would call 0. Integer
-    arithmetic throughout, so gaps of many centuries stay exact.
+    One hour backwards is -1 day, which ``datediff`` would call 0: the day
+    difference is one less when the end's time of day is the earlier one. No
+    step looks at a time zone.
     """
-    micros = F.timestamp_diff("MICROSECOND", start, end)
-    day = F.lit(MICROS_PER_DAY).cast("bigint")
-    return F.call_function("div", micros - F.pmod(micros, day), day)
+    days = F.date_diff(end.cast("date"), start.cast("date"))
+    ends_earlier = start + F.make_dt_interval(days) > end
+    return (days - F.when(ends_earlier, 1).otherwise(0)).cast("bigint")

@@ -58,7 +58,7 @@ def ordinal_encode(df: DataFrame, columns: Sequence[str], key: Sequence[str],
             F.col("value").alias("_value"), F.col("code").alias(name + suffix))
         encoded = encoded.join(F.broadcast(codes), F.col(name).cast("string") == F.col("_value"), "left").drop("_value")
     if large:
-        cells = melt(df, key, large)
+        cells = melt(df, key, large).filter("value IS NOT NULL")
         coded = lookup(cells, dictionary, ["column", "value"], spread_by=[*key, "column"], weight="n", how="inner")
         wide = coded.groupBy(*key).agg(*[
             F.max(F.when(F.col("column") == name, F.col("code"))).alias(name + suffix) for name in large])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -40,15 +40,24 @@ def _cell(name: str, kind: str):
     return text if kind == "string" else text.try_cast(kind)
 
 
-def read_csv(spark: SparkSession, path: str, contract: Contract, multiline: bool = True) -> DataFrame:
+def has_line_breaks(spark: SparkSession, path: str) -> bool:
+    """Whether a quoted cell may run over a line break: some line has an odd number of quotes."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
+
+
+def read_csv(spark: SparkSession, path: str, contract: Contract, multiline: bool | None = None) -> DataFrame:
     """One raw file (or folder of files) under its contract.
 
     Columns are found by header, so their order in the file does not matter.
-    ``multiline`` keeps quoted line breaks whole, at the price of one task per
-    file; without such breaks pass False and large files are split.
+    Quoted line breaks need ``multiline``, which reads each file in one task.
+    By default the lines are scanned for them first, in parallel, and only
+    files that have some are read that way; all others are split.
     """
+    if multiline is None:
+        multiline = has_line_breaks(spark, path)
     raw = _csv(spark, multiline).option("header", True).csv(path)
-    present = {name.lstrip("﻿"): name for name in raw.columns}
+    present = {name.lstrip("\ufeff"): name for name in raw.columns}
     if "企业名称" not in present:
         raise ValueError(f"{path}: no column 企业名称")
     kept = [(present[header], alias) for header, alias in contract.names.items() if header in present]
@@ -69,7 +78,7 @@ def read_name_list(spark: SparkSession, path: str, name: str = "qymc") -> DataFr
     return raw.select(_cell(raw.columns[0], "string").alias(name))
 
 
-def read_table(spark: SparkSession, root: str, contract: Contract, multiline: bool = True) -> DataFrame:
+def read_table(spark: SparkSession, root: str, contract: Contract, multiline: bool | None = None) -> DataFrame:
     """All rounds of a table: train and test in one frame, with ``split``,
     ``is_chusai`` (first round) and the order columns."""
     sides = []
@@ -84,7 +93,7 @@ def read_table(spark: SparkSession, root: str, contract: Contract, multiline: bo
     return table
 
 
-def read_raw(spark: SparkSession, root: str, multiline: bool = True) -> dict[str, DataFrame]:
+def read_raw(spark: SparkSession, root: str, multiline: bool | None = None) -> dict[str, DataFrame]:
     """Every raw table below ``root``, by contract name."""
     return {name: read_table(spark, root, contract, multiline) for name, contract in CONTRACTS.items()}
 

@@ -46,6 +46,19 @@ def test_day_gap_rounds_down(spark):
     assert got == [None if a is None else (b - a).days for a, b in rows]
 
 
+def test_dates_do_not_depend_on_the_zone(spark):
+    """The hour 02:30 of 2020-03-08 does not exist in New York, and that day has 23 hours."""
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        row = spark.createDataFrame([("2020-03-08 02:30:00", "2020/3/9")], "a string, b string").select(
+            parse_timestamp(F.col("a")).alias("a"), parse_slash_date(F.col("b")).alias("b"), parse_day(F.col("a")).alias("d"))
+        got = row.select(F.col("a").cast("string"), F.col("d").cast("string"), day_gap(F.col("a"), F.col("b")),
+                         day_gap(F.col("d"), F.col("b")), day_gap(F.col("b"), F.col("a"))).head()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert tuple(got) == ("2020-03-08 02:30:00", "2020-03-08 00:00:00", 0, 1, -1)
+
+
 def test_text_functions(spark):
     assert values(spark, [("招5-10人",), ("若干",), (None,), ("１２人",)], "t string", first_int(F.col("t"))) == [5, None, None, 12]
     assert values(spark, [("苏州市吴中区",), ("ab",)], "t string", prefix(F.col("t"), 3)) == ["苏州市", "ab"]
