@@ -226,3 +226,13 @@ def test_reports(spark, tables, expected):
     profile = {r["column"]: r for r in reports.profile(tables, "tax").collect()}
     assert profile["shdw"]["n_present"] == tables["tax"].filter("shdw IS NOT NULL").count()
     assert {r["reason"] for r in reports.columns_to_drop(tables, "tax").collect()} <= {"sparse", "constant", "same meaning"}
+
+
+def test_term_stacking_scores_every_enterprise_once(spark, built):
+    from riskloom.functions.text import user_tokenizer
+    from riskloom.plans.stacking import term_stacking
+
+    for tokens in ({}, {"tokens": user_tokenizer(str.split)}):
+        scored = term_stacking(built, "is_chufa", "term_score", terms=50, folds=2, **tokens)
+        assert scored.count() == scored.select(*plan.KEY).distinct().count() == built.count()
+        assert scored.filter("term_score IS NULL OR term_score < 0 OR term_score > 1").count() == 0
