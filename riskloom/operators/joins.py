@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 # A key is hot when it holds more than 1/HOT_SLOTS of all rows. There can be at
 # most HOT_SLOTS such keys, which is the bound on what the lookup broadcasts.
 HOT_SLOTS = 256
+# The share of rows whose keys are looked at to find the hot ones.
+HOT_SAMPLE = 0.01
 
 
 def attach(spine: DataFrame, tables: Sequence[DataFrame], key: Sequence[str],
@@ -53,17 +55,21 @@ def membership_flags(spine: DataFrame, sets: Mapping[str, DataFrame], key: Seque
 
 
 def lookup(rows: DataFrame, table: DataFrame, on: Sequence[str], spread_by: Sequence[str],
-           weight: str | None = None, how: str = "left", slots: int = HOT_SLOTS) -> DataFrame:
+           weight: str | None = None, how: str = "left", slots: int = HOT_SLOTS,
+           sampled: float = HOT_SAMPLE) -> DataFrame:
     """Join many rows to a table that is unique on ``on``, whatever the skew.
 
     Hot keys are looked up in a broadcast of at most ``slots`` table rows. The
-    remaining lookup is an ordinary equi-join in which hot and null-keyed rows,
-    which need no partner any more, carry a salt taken from ``spread_by`` (the
-    columns that identify a row) and so spread over all tasks.
+    rest is an ordinary equi-join in which hot and null-keyed rows, which need
+    no partner any more, carry a salt taken from ``spread_by`` (the columns
+    that identify a row) and so spread over all tasks.
 
     ``weight`` names a table column that already holds the number of rows per
-    key; without it the keys of ``rows`` are counted (a pre-aggregated shuffle
-    of the key columns alone). ``how`` is left, inner, left_semi or left_anti.
+    key. Without it, the keys of a sample of the rows show which keys are hot.
+    That choice only decides where a row finds its partner: the equi-join keeps
+    the whole table, so the result is the same for any choice.
+
+    ``how`` is left, inner, left_semi or left_anti.
     """
     keys = list(on)
     row_types, table_types = dict(rows.dtypes), dict(table.dtypes)
@@ -73,15 +79,16 @@ def lookup(rows: DataFrame, table: DataFrame, on: Sequence[str], spread_by: Sequ
     if weight:
         counts = table.select(*keys, F.col(weight).alias("_n"))
     else:
-        counts = with_key(rows, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        seen = rows.select(*keys).sample(fraction=sampled, seed=0) if sampled < 1 else rows.select(*keys)
+        counts = with_key(seen, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n")).scalar()
-    hot_keys = counts.filter(F.col("_n") * slots > total).select(*keys, F.lit(True).alias("_hot"))
+    hot_keys = counts.filter(F.col("_n") * slots > total).select(*keys)
 
+    hot = table.join(F.broadcast(hot_keys), keys, "left_semi").select(
+        *keys, *[F.col(c).alias(f"_hot_{c}") for c in taken], F.lit(1).alias("_found_hot"))
     # The salt is mixed into a hash of the key, because a join on a constant
     # salt would be rewritten to a filter and the rows placed by the key alone.
-    marked = table.join(F.broadcast(hot_keys), keys, "left")
-    hot = marked.filter("_hot").select(*keys, *[F.col(c).alias(f"_hot_{c}") for c in taken], F.lit(1).alias("_found_hot"))
-    cold = marked.filter("_hot IS NULL").select(
+    cold = table.select(
         *keys, F.xxhash64(*keys, F.lit(0)).alias("_place"), *[F.col(c).alias(f"_cold_{c}") for c in taken],
         F.lit(1).alias("_found_cold"))
 
@@ -97,4 +104,5 @@ def lookup(rows: DataFrame, table: DataFrame, on: Sequence[str], spread_by: Sequ
         joined = joined.filter(~found)
     if how in ("left_semi", "left_anti"):
         return joined.select(*rows.columns)
-    return joined.select(*rows.columns, *[F.coalesce(f"_hot_{c}", f"_cold_{c}").alias(c) for c in taken])
+    value = lambda c: F.when(F.col("_found_hot").isNotNull(), F.col(f"_hot_{c}")).otherwise(F.col(f"_cold_{c}"))
+    return joined.select(*rows.columns, *[value(c).alias(c) for c in taken])

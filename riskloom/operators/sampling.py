@@ -10,9 +10,7 @@ import math
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
-
-from riskloom.operators.ordering import ordered_values
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 HASH_RANGE = 1 << 32
 
@@ -29,20 +27,24 @@ def hash_fold(key: Sequence[str], folds: int, seed: int) -> Column:
 
 
 def stratified_fold(df: DataFrame, key: Sequence[str], label: str, folds: int, seed: int,
-                    name: str = "fold") -> DataFrame:
-    """Folds whose sizes differ by at most one within each class.
-
-    Rows of a class are dealt out in the order of their hashed keys, so
-    ``key`` must identify a row. The ranking is distributed and the result
-    joined back by key; two classes never mean two tasks.
+                    name: str = "fold", buckets: int = 1 << 16) -> DataFrame:
+    """Folds whose sizes differ by at most one within each class; null for a null class.
+
+    Rows of a class are dealt out in the order of their hashed keys. The hash
+    is uniform, so its range is cut into equal ``buckets``: each is ordered by
+    itself, and the rows before it are known from one count per class and
+    bucket. Two classes never mean two tasks. ``key`` identifies a row, and a
+    label has few classes: the counts are at most classes times buckets.
     """
-    ticket = F.concat_ws("|", F.lpad(key_hash(key, seed).cast("string"), 10, "0"),
-                         *[F.col(c).cast("string") for c in key])
-    tickets = df.select(F.col(label).alias("_class"), ticket.alias("_ticket"))
-    dealt = ordered_values(tickets, ["_class"], "_ticket").select(
-        "_class", "_ticket", (F.col("position") % folds).cast("int").alias(name))
-    marked = df.withColumns({"_class": F.col(label), "_ticket": ticket})
-    return marked.join(dealt, ["_class", "_ticket"], "left").drop("_class", "_ticket")
+    hashed = key_hash(key, seed)
+    dealt = df.withColumns({"_hash": hashed, "_bucket": F.floor(hashed / (HASH_RANGE // buckets)).cast("int")})
+    counts = dealt.filter(F.col(label).isNotNull()).groupBy(label, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(label).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(label, "_bucket", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(label, "_bucket").orderBy("_hash", *[F.col(c).cast("string") for c in key])
+    placed = dealt.withColumn("_place", F.row_number().over(inside) - 1)
+    return placed.join(F.broadcast(before), [label, "_bucket"], "left").select(
+        *df.columns, ((F.col("_before") + F.col("_place")) % folds).cast("int").alias(name))
 
 
 def holdout_split(key: Sequence[str], test_share: float, seed: int) -> Column:

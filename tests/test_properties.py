@@ -40,7 +40,8 @@ def test_lookup_is_a_left_join(spark, rows, slots):
     left = spark.createDataFrame(list(enumerate(rows)), "id long, k string")
     right = spark.createDataFrame([("a", 1), ("c", 3), ("z", 9)], "k string, v int")
     want = sorted((i, k, {"a": 1, "c": 3}.get(k)) for i, k in enumerate(rows))
-    assert sorted(tuple(r) for r in lookup(left, right, ["k"], ["id"], slots=slots).collect()) == want
+    for sampled in (1.0, 0.3):
+        assert sorted(tuple(r) for r in lookup(left, right, ["k"], ["id"], slots=slots, sampled=sampled).collect()) == want
 
 
 @few

@@ -148,7 +148,7 @@ def test_lookup_with_hot_and_null_keys(spark, how, weighted, slots):
     table = spark.createDataFrame([(k, v, keys.count(k)) for k, v in entries], "k string, v int, n long")
     if not weighted:
         table = table.drop("n")
-    got = lookup(rows, table, ["k"], ["id"], weight="n" if weighted else None, how=how, slots=slots)
+    got = lookup(rows, table, ["k"], ["id"], weight="n" if weighted else None, how=how, slots=slots, sampled=1.0)
     known = dict(entries)
     if how == "left":
         want = [(i, k, known.get(k)) for i, k in enumerate(keys)]
