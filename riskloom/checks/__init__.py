@@ -10,13 +10,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(sql: str | None = None):
-    """Register a query under its function name; without SQL only its rows are checked."""
+def query(sql: str | None = None, name: str | None = None):
+    """Register a query, by default under its function's name; without SQL only its rows are checked."""
 
     def register(function):
-        QUERIES[function.__name__] = function
+        QUERIES[name or function.__name__] = function
         if sql:
-            ORACLES[function.__name__] = sql
+            ORACLES[name or function.__name__] = sql
         return function
 
     return register

@@ -104,7 +104,7 @@ def distinct_kinds(spark, sf_dir):
 @query("""
 SELECT label, CAST(pos AS INTEGER) AS pos, round(avg(x), 6) AS mean FROM (
   SELECT label, unnest(embedding) AS x, unnest(range(len(embedding))) AS pos FROM embeddings) GROUP BY 1, 2
-""")
+""", name="vector_mean")
 def vector_mean_by_label(spark, sf_dir):
     means = vector_mean(table(spark, sf_dir, "embeddings"), ["label"], "embedding", 64, "mean")
     return rounded(means.select("label", F.posexplode("mean").alias("pos", "mean")), "mean")

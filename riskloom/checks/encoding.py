@@ -19,7 +19,7 @@ SELECT p_partkey, p_type, d.code AS p_type_encoder
 FROM (SELECT p_partkey, nullif(p_type, 'ECONOMY') AS p_type FROM part) LEFT JOIN (
   SELECT p_type, dense_rank() OVER (ORDER BY p_type) - 1 AS code
   FROM (SELECT DISTINCT p_type FROM part WHERE p_type <> 'ECONOMY')) d USING (p_type)
-""")
+""", name="ordinal_encode")
 def ordinal_encode_one(spark, sf_dir):
     part = table(spark, sf_dir, "part").select("p_partkey", F.nullif("p_type", F.lit("ECONOMY")).alias("p_type"))
     return ordinal_encode(part, ["p_type"], ["p_partkey"])
@@ -68,7 +68,7 @@ def ordered_positions(spark, sf_dir):
 SELECT o_custkey, max(code) AS priority_max, min(code) AS priority_min, round(avg(code), 6) AS priority_mean,
        round(stddev_samp(code), 6) AS priority_std
 FROM (SELECT o_custkey, dense_rank() OVER (ORDER BY o_orderpriority) - 1 AS code FROM orders) GROUP BY 1
-""")
+""", name="category_code_stats")
 def category_code_statistics(spark, sf_dir):
     stats = category_code_stats(table(spark, sf_dir, "orders"), ["o_custkey"], "o_orderpriority", "priority")
     return rounded(stats, "priority_mean", "priority_std")

@@ -35,7 +35,7 @@ SELECT custkey, o_orderkey, o_orderstatus, o_totalprice FROM (
          row_number() OVER (PARTITION BY o_custkey
            ORDER BY CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1 END, o_orderkey) AS r
   FROM orders) WHERE r = 1
-""")
+""", name="first_record")
 def first_record_per_entity(spark, sf_dir):
     ranked = orders(spark, sf_dir).withColumn("source_rank", F.when(F.col("o_orderstatus") == "F", 0).otherwise(1))
     return first_record(ranked, ["custkey"], ["source_rank", "o_orderkey"],
@@ -47,7 +47,7 @@ SELECT custkey, o_orderkey, o_orderstatus, o_orderdate FROM (
   SELECT o_custkey AS custkey, o_orderkey, o_orderstatus, o_orderdate,
          row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS LAST, o_orderkey) AS r
   FROM orders) WHERE r = 1
-""")
+""", name="latest_record")
 def latest_record_per_entity(spark, sf_dir):
     return latest_record(orders(spark, sf_dir), ["custkey"], "o_orderdate", ["o_orderkey"],
                          ["o_orderkey", "o_orderstatus", "o_orderdate"])

@@ -9,7 +9,7 @@ from riskloom.operators.models import (
     Trees, feature_importances, fit_with_best_rounds, model_input, out_of_fold, predict, search_one_at_a_time,
     tree_pipeline)
 from riskloom.operators.sampling import hash_fold, holdout_split, negative_bags, sample_weights
-from riskloom.operators.scoring import bag_average, fold_gate_average
+from riskloom.operators.scoring import bag_average
 from riskloom.operators.terms import term_vector, top_terms
 from riskloom.session import spread, stage
 

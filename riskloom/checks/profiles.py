@@ -55,7 +55,7 @@ def target_rate_of_details(spark, sf_dir):
 
 @query("""
 SELECT d.lang, l.quality, count(*) AS n_rows FROM documents d JOIN labels l USING (doc_id) GROUP BY 1, 2
-""")
+""", name="class_balance")
 def class_balance_by_group(spark, sf_dir):
     labelled = table(spark, sf_dir, "documents").select("doc_id", "lang").join(table(spark, sf_dir, "labels"), "doc_id")
     return class_balance(labelled, ["lang"], "quality")
@@ -67,7 +67,7 @@ PART_TYPES = {"p_partkey": "bigint", "p_name": "string", "p_brand": "string", "p
 
 @query(" UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", '{t}' AS type, count(*) AS n_rows, count({c}) AS n_present, count(DISTINCT {c}) AS n_distinct FROM part"
-    for c, t in PART_TYPES.items()))
+    for c, t in PART_TYPES.items()), name="profile_columns")
 def profile_of_columns(spark, sf_dir):
     return profile_columns(table(spark, sf_dir, "part"))
 
@@ -108,7 +108,7 @@ SELECT 'orders' AS table_name, count(*) AS n_entities, count(*) / (SELECT count(
 FROM orders_k SEMI JOIN customer_k USING (k)
 UNION ALL SELECT 'events', count(*), count(*) / (SELECT count(*)::DOUBLE FROM customer_k) FROM events_k SEMI JOIN customer_k USING (k)
 UNION ALL SELECT 'errors', count(*), count(*) / (SELECT count(*)::DOUBLE FROM customer_k) FROM errors_k SEMI JOIN customer_k USING (k)
-""")
+""", name="table_coverage")
 def coverage_of_tables(spark, sf_dir):
     sets = keys(spark, sf_dir)
     return table_coverage(sets["customer"], {n: sets[n] for n in ("orders", "events", "errors")}, ["k"])
@@ -118,7 +118,7 @@ def coverage_of_tables(spark, sf_dir):
 SELECT 'orders&events' AS combination, count(*) AS n_keys FROM orders_k SEMI JOIN events_k USING (k)
 UNION ALL SELECT 'orders', count(*) FROM orders_k
 UNION ALL SELECT 'events', count(*) FROM events_k
-""")
+""", name="key_overlap")
 def key_overlap_pair(spark, sf_dir):
     sets = keys(spark, sf_dir)
     return key_overlap({n: sets[n] for n in ("orders", "events")}, ["k"], [("orders", "events"), ("orders",), ("events",)])
@@ -135,7 +135,7 @@ def key_overlap_multi(spark, sf_dir):
         ("customer", "urgent", "events"), ("customer", "orders", "urgent", "errors")])
 
 
-@query("SELECT DISTINCT o_orderpriority FROM orders")
+@query("SELECT DISTINCT o_orderpriority FROM orders", name="distinct_values")
 def distinct_values_of_column(spark, sf_dir):
     return distinct_values(table(spark, sf_dir, "orders"), "o_orderpriority")
 

@@ -36,7 +36,7 @@ def stratified_folds(spark, sf_dir):
 @query(f"""
 SELECT o_orderkey, CASE WHEN {HASH_SQL.format(key='o_orderkey', seed=7)} < 429496729 THEN 'test' ELSE 'train' END AS part
 FROM orders
-""")
+""", name="holdout_split")
 def holdout_splits(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", holdout_split(["o_orderkey"], 0.1, 7).alias("part"))
 
@@ -45,7 +45,7 @@ def holdout_splits(spark, sf_dir):
 SELECT doc_id, lang, quality, toxic, CAST(b AS INTEGER) AS bag
 FROM documents JOIN labels USING (doc_id), range(4) AS bags(b)
 WHERE toxic = 1 OR b = {fold_sql('doc_id', 4, 0)}
-""".replace("SELECT doc_id, lang", "SELECT doc_id, documents.lang"))
+""".replace("SELECT doc_id, lang", "SELECT doc_id, documents.lang"), name="negative_bags")
 def negative_bags_one_part(spark, sf_dir):
     return negative_bags(labelled(spark, sf_dir), ["doc_id"], "toxic", bags=4, seed=0)
 
@@ -54,12 +54,12 @@ def negative_bags_one_part(spark, sf_dir):
 SELECT doc_id, documents.lang, quality, toxic, CAST(b AS INTEGER) AS bag
 FROM documents JOIN labels USING (doc_id), range(4) AS bags(b)
 WHERE toxic = 1 OR b <> {fold_sql('doc_id', 4, 2018)}
-""")
+""", name="negative_bags_loo")
 def negative_bags_leave_one_out(spark, sf_dir):
     return negative_bags(labelled(spark, sf_dir), ["doc_id"], "toxic", bags=4, seed=2018, leave_one_out=True)
 
 
-@query("SELECT doc_id, quality, CASE WHEN toxic = 1 THEN 2 ELSE 1 END AS weight FROM labels")
+@query("SELECT doc_id, quality, CASE WHEN toxic = 1 THEN 2 ELSE 1 END AS weight FROM labels", name="sample_weights")
 def sample_weights_by_label(spark, sf_dir):
     return table(spark, sf_dir, "labels").select("doc_id", "quality", sample_weights(F.col("toxic") == 1).alias("weight"))
 
@@ -67,7 +67,7 @@ def sample_weights_by_label(spark, sf_dir):
 @query("""
 SELECT event_id, CASE WHEN ts >= TIMESTAMP '2024-01-12' AND ts < TIMESTAMP '2024-01-15' THEN 'train' ELSE 'test' END AS part
 FROM events WHERE ts >= TIMESTAMP '2024-01-12' AND ts < TIMESTAMP '2024-01-16'
-""")
+""", name="time_window_split")
 def time_window_splits(spark, sf_dir):
     return table(spark, sf_dir, "events").select(
         "event_id", time_window_split(F.col("ts"), "2024-01-15 00:00:00").alias("part")).filter("part IS NOT NULL")
@@ -84,6 +84,6 @@ def poisson_sql(key: str, seed: int, fraction: float) -> str:
 @query(f"""
 SELECT o_orderkey, CAST(draw AS INTEGER) AS draw FROM (
   SELECT o_orderkey, unnest(range(1, 1 + {poisson_sql('o_orderkey', 2018, 0.9)})) AS draw FROM orders)
-""")
+""", name="bootstrap_sample")
 def bootstrap_samples(spark, sf_dir):
     return bootstrap_sample(table(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"], 0.9, 2018)

@@ -29,7 +29,7 @@ def region_code_split(spark, sf_dir):
 @query("""
 SELECT event_id, CAST(year(ts) AS INTEGER) AS ts_year, CAST(month(ts) AS INTEGER) AS ts_month,
        CAST(day(ts) AS INTEGER) AS ts_day FROM events
-""")
+""", name="date_parts")
 def date_parts_of_text(spark, sf_dir):
     """Year, month and day of a timestamp that arrives as text."""
     at = parse_timestamp(F.col("ts").cast("string"))
@@ -58,7 +58,7 @@ def day_gaps(spark, sf_dir):
 SELECT o_orderkey, CAST(try_strptime(CASE WHEN o_orderpriority = '5-LOW' THEN 'bad' ELSE {DATE_TEXT} END, '%Y/%m/%d')
        AS TIMESTAMP) AS parsed
 FROM orders
-""")
+""", name="parse_slash_date")
 def parse_slash_dates(spark, sf_dir):
     text = F.when(F.col("o_orderpriority") == "5-LOW", "bad").otherwise(slash_text(F.col("o_orderdate")))
     return table(spark, sf_dir, "orders").select("o_orderkey", parse_slash_date(text).alias("parsed"))
@@ -66,7 +66,7 @@ def parse_slash_dates(spark, sf_dir):
 
 @query("""
 SELECT o_orderkey, CASE WHEN nullif(o_orderstatus, 'O') IS NULL THEN 0 ELSE 1 END AS is_closed FROM orders
-""")
+""", name="not_null_flag")
 def not_null_flags(spark, sf_dir):
     return table(spark, sf_dir, "orders").select(
         "o_orderkey", not_null_flag(F.nullif("o_orderstatus", F.lit("O"))).alias("is_closed"))
@@ -74,7 +74,7 @@ def not_null_flags(spark, sf_dir):
 
 @query(f"""
 SELECT vec_id, {", ".join(f"embedding[{i + 1}] AS array_{i}_fea" for i in range(10))}, embedding[66] AS beyond FROM embeddings
-""")
+""", name="array_to_columns")
 def array_to_scalar_columns(spark, sf_dir):
     names = [f"array_{i}_fea" for i in range(10)]
     array = F.col("embedding")

@@ -6,7 +6,7 @@ from riskloom.checks import query, table
 from riskloom.checks.aggregates import rounded
 from riskloom.operators.scoring import (
     auc_exact, bag_average, base_rules, blend_tables, extended_rules, fold_gate_average, rank_fusion, residual,
-    rule_adjust, top_features)
+    top_features)
 
 FLAG_SQL = """
   SELECT c_custkey, abs(c_acctbal) / 10000 AS score,
@@ -45,7 +45,7 @@ def adjusted():
                       F.col("infringed"))
 
 
-@query(f"SELECT c_custkey, score, {BASE_SQL} AS adjusted FROM ({FLAG_SQL})")
+@query(f"SELECT c_custkey, score, {BASE_SQL} AS adjusted FROM ({FLAG_SQL})", name="rule_adjust")
 def rule_adjust_base(spark, sf_dir):
     return flagged(spark, sf_dir).select("c_custkey", "score", adjusted().alias("adjusted"))
 
@@ -56,7 +56,7 @@ SELECT c_custkey, CASE WHEN n_statuses > 2 OR n_levels > 4 THEN 0.0::DOUBLE
 FROM ({FLAG_SQL}) LEFT JOIN (
   SELECT o_custkey AS c_custkey, count(DISTINCT o_orderstatus) AS n_statuses, count(DISTINCT o_orderpriority) AS n_levels
   FROM orders GROUP BY 1) USING (c_custkey)
-""")
+""", name="rule_adjust_ext")
 def rule_adjust_extended(spark, sf_dir):
     """All rules; the identifier counts are joined on and null where there are none."""
     from riskloom.operators.aggregates import Feature, entity_features
@@ -94,7 +94,7 @@ def blend_scores(spark, sf_dir):
     return blend_tables(a, b, "EID", "FORTARGET1", "FORTARGET2")
 
 
-@query("SELECT l_orderkey, round(avg(l_discount), 6) AS score FROM lineitem GROUP BY 1")
+@query("SELECT l_orderkey, round(avg(l_discount), 6) AS score FROM lineitem GROUP BY 1", name="bag_average")
 def bag_averages(spark, sf_dir):
     return rounded(bag_average(table(spark, sf_dir, "lineitem"), ["l_orderkey"], "l_discount", "score"), "score")
 
@@ -103,7 +103,7 @@ def bag_averages(spark, sf_dir):
 WITH metrics AS (SELECT l_linenumber, count(*) FILTER (WHERE l_quantity > 5) / count(*)::DOUBLE AS auc FROM lineitem GROUP BY 1)
 SELECT l_orderkey, round(avg(CASE WHEN auc > 0.9 THEN l_discount END), 6) AS score
 FROM lineitem JOIN metrics USING (l_linenumber) GROUP BY 1
-""")
+""", name="fold_gate_average")
 def fold_gate_averages(spark, sf_dir):
     """Only folds above the gate count; an entity with none has no score."""
     scores = table(spark, sf_dir, "lineitem").withColumnRenamed("l_linenumber", "fold")
@@ -115,7 +115,7 @@ def fold_gate_averages(spark, sf_dir):
 SELECT c_custkey, round((0.6::DOUBLE * ra / n + 0.4::DOUBLE * rb / n) / 1.0, 9) AS fused FROM (
   SELECT c_custkey, rank() OVER (ORDER BY c_acctbal) AS ra, rank() OVER (ORDER BY c_nationkey) AS rb,
          count(*) OVER () AS n FROM customer)
-""")
+""", name="rank_fusion")
 def rank_fusions(spark, sf_dir):
     """Weighted mean of relative ranks; the second model has only 25 distinct scores."""
     fused = rank_fusion(table(spark, sf_dir, "customer"), ["c_custkey"], {"c_acctbal": 0.6, "c_nationkey": 0.4}, "fused")
@@ -132,7 +132,7 @@ FROM w
 """
 
 
-@query(AUC_SQL.format(rows="SELECT n_chars AS score, quality AS y FROM documents JOIN labels USING (doc_id)"))
+@query(AUC_SQL.format(rows="SELECT n_chars AS score, quality AS y FROM documents JOIN labels USING (doc_id)"), name="auc_exact")
 def auc_of_documents(spark, sf_dir):
     rows = table(spark, sf_dir, "documents").select("doc_id", "n_chars").join(table(spark, sf_dir, "labels"), "doc_id")
     return rounded(auc_exact(rows, "n_chars", "quality"), "auc", digits=12)
@@ -150,7 +150,8 @@ SELECT doc_id, n_chars / (n_chars + 1000.0::DOUBLE) - quality AS residual FROM d
 """)
 def residuals(spark, sf_dir):
     rows = table(spark, sf_dir, "documents").select("doc_id", "n_chars").join(table(spark, sf_dir, "labels"), "doc_id")
-    return rows.select("doc_id", residual(F.col("n_chars") / (F.col("n_chars") + F.lit(1000.0)), F.col("quality")).alias("residual"))
+    prediction = F.col("n_chars") / (F.col("n_chars") + F.lit(1000.0))
+    return rows.select("doc_id", residual(prediction, F.col("quality")).alias("residual"))
 
 
 @query("SELECT p_brand AS feature, sum(l_quantity) AS importance FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10")

@@ -77,7 +77,7 @@ WITH t AS (SELECT doc_id, {RUNS_SQL} AS terms FROM documents),
        SELECT term, count(*) AS tf FROM (SELECT unnest(terms) AS term FROM t) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20))
 SELECT doc_id, {", ".join(f"CASE WHEN list_contains(t.terms, v.terms[{i + 1}]) THEN 1 ELSE 0 END AS has_{i}" for i in range(20))}
 FROM t, v
-""")
+""", name="term_indicators")
 def term_indicator_columns(spark, sf_dir):
     """0/1 columns of the most frequent terms."""
     texts = documents(spark, sf_dir)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 SCORE_COLUMNS = ("EID", "FORTARGET1", "FORTARGET2")
 
