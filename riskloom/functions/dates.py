@@ -22,8 +22,9 @@ def parse_timestamp(text: Column) -> Column:
 
 
 def parse_day(text: Column) -> Column:
-    """Only the date part: the first ten characters, time of day dropped."""
-    return parse_timestamp(F.substring(F.trim(text), 1, 10)).cast("date").cast("timestamp_ntz")
+    """Only the date part of the first ten characters; a time of day is dropped."""
+    day = F.regexp_replace(F.substring(F.trim(text), 1, 10), "[ T].*$", "")
+    return parse_timestamp(day).cast("date").cast("timestamp_ntz")
 
 
 def parse_slash_date(text: Column) -> Column:

@@ -30,7 +30,15 @@ def test_parse_timestamp_shapes(spark):
 
 
 def test_parse_day_drops_time(spark):
-    assert values(spark, [("2017-03-04 23:59:59",)], "t string", parse_day(F.col("t"))) == [dt.datetime(2017, 3, 4)]
+    texts = ["2017-03-04 23:59:59", "2017/3/4 9:00", "2017-3-4T10:00", "20170304", "bad"]
+    got = values(spark, [(t,) for t in texts], "t string", parse_day(F.col("t")))
+    assert got == [dt.datetime(2017, 3, 4)] * 4 + [None]
+
+
+def test_short_times(spark):
+    texts = ["2017/3/4 9:05", "2017-03-04 09:05:00", "2017-03-04T09:05:00", "2017/03/04 9:5:0"]
+    got = values(spark, [(t,) for t in texts], "t string", parse_timestamp(F.col("t")))
+    assert got == [dt.datetime(2017, 3, 4, 9, 5)] * 4
 
 
 def test_parse_slash_date(spark):
