@@ -69,8 +69,7 @@ SELECT event_id, CASE WHEN ts >= TIMESTAMP '2024-01-12' AND ts < TIMESTAMP '2024
 FROM events WHERE ts >= TIMESTAMP '2024-01-12' AND ts < TIMESTAMP '2024-01-16'
 """, name="time_window_split")
 def time_window_splits(spark, sf_dir):
-    return table(spark, sf_dir, "events").select(
-        "event_id", time_window_split(F.col("ts"), "2024-01-15 00:00:00").alias("part")).filter("part IS NOT NULL")
+    return time_window_split(table(spark, sf_dir, "events"), "ts", "2024-01-15 00:00:00").select("event_id", "part")
 
 
 def poisson_sql(key: str, seed: int, fraction: float) -> str:

@@ -53,14 +53,17 @@ def holdout_split(key: Sequence[str], test_share: float, seed: int) -> Column:
     return F.when(key_hash(key, seed) < bound, "test").otherwise("train")
 
 
-def time_window_split(timestamp: Column, split: str, train_days: int = 3, test_days: int = 1) -> Column:
-    """``train`` in the days before ``split``, ``test`` from it on, else null."""
+def time_window_split(df: DataFrame, timestamp: str, split: str, train_days: int = 3, test_days: int = 1,
+                      name: str = "part") -> DataFrame:
+    """``train``: the days before ``split``; ``test``: the days from it on; other rows are outside both.
+
+    The outer bounds are plain comparisons with constants, so the scan skips
+    what lies outside.
+    """
     at = F.lit(split).cast("timestamp_ntz")
-    days = lambda n: F.make_dt_interval(F.lit(n))
-    return (
-        F.when((timestamp >= at - days(train_days)) & (timestamp < at), "train")
-        .when((timestamp >= at) & (timestamp < at + days(test_days)), "test")
-    )
+    first, end = at - F.make_dt_interval(F.lit(train_days)), at + F.make_dt_interval(F.lit(test_days))
+    inside = df.filter((F.col(timestamp) >= first) & (F.col(timestamp) < end))
+    return inside.withColumn(name, F.when(F.col(timestamp) < at, "train").otherwise("test"))
 
 
 def negative_bags(df: DataFrame, key: Sequence[str], label: str, bags: int = 4, seed: int = 0,

@@ -163,3 +163,13 @@ def score_enterprises(tables: Mapping[str, DataFrame], features: DataFrame, sett
     a = apply_rules(score_a(train, test, settings), flags, settings.extended)
     b = apply_rules(score_b(train, test, settings), flags, settings.extended)
     return blend_tables(a, b, "qymc", "FORTARGET1", "FORTARGET2")
+
+
+def evaluate(scores: DataFrame, labels: DataFrame) -> DataFrame:
+    """``auc1, auc2, mean_auc`` of a score table against ``qymc, is_shixin, is_chufa``: the task's metric."""
+    joined = scores.join(labels.select("qymc", "is_shixin", "is_chufa"), "qymc")
+    first = auc_exact(joined, "FORTARGET1", "is_shixin").select(F.col("auc").alias("auc1"))
+    second = auc_exact(joined, "FORTARGET2", "is_chufa").select(F.col("auc").alias("auc2"))
+    each = first.unionByName(second, allowMissingColumns=True)
+    both = each.agg(F.max("auc1").alias("auc1"), F.max("auc2").alias("auc2"))
+    return both.withColumn("mean_auc", (F.col("auc1") + F.col("auc2")) / 2)

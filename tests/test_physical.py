@@ -56,6 +56,11 @@ def test_best_record_is_limited_before_the_shuffle(no_broadcast):
         assert "PushedFilters: [IsNotNull(o_custkey)]" in text and "o_totalprice" not in text
 
 
+def test_time_window_reaches_the_scan(spark):
+    text = plan(entry.queries()["time_window_split"](spark, FOLDER))
+    assert "GreaterThanOrEqual(ts,2024-01-12" in text and "LessThan(ts,2024-01-16" in text
+
+
 def test_star_of_tables_shuffles_each_table_once(no_broadcast):
     orders = no_broadcast.read.parquet(f"{FOLDER}/orders.parquet")
     spine = first_record(orders, ["o_custkey"], ["o_orderkey"], [])

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.functions.dates import day_gap, parse_day, parse_slash_date, parse_timestamp
-from riskloom.functions.text import ID_DOCUMENT_SYNONYMS, first_int, normalise_synonyms, prefix, region_code_parts, tokenize
+from riskloom.functions.text import (
+    ID_DOCUMENT_SYNONYMS, first_int, normalise_synonyms, prefix, region_code_parts, tokenize, user_tokenizer)
 from riskloom.functions.values import fill_missing, not_null_flag
 from riskloom.operators.aggregates import Feature, entity_features, summary
 from riskloom.operators.encode import category_code_stats, ordinal_encode, out_of_fold_rate
@@ -14,6 +15,7 @@ from riskloom.operators.joins import attach, lookup, membership_flags
 from riskloom.operators.ordering import ordered_values
 from riskloom.operators.records import first_record, latest_record, stack_sources
 from riskloom.operators.sampling import hash_fold, negative_bags, stratified_fold
+from riskloom.plans.scoring import evaluate
 from riskloom.operators.scoring import (
     auc_exact, base_rules, blend_tables, extended_rules, fold_gate_average, rank_fusion)
 
@@ -83,6 +85,17 @@ def test_tokenize(spark):
     assert got == [["销售", "LED", "灯具", "模具"], ["a", "b", "c"], [], [], None, ["中文", "文字", "x"]]
 
 
+def test_user_tokenizer_keeps_null(spark):
+    got = values(spark, [("a b",), (None,), ("",)], "t string", user_tokenizer(str.split)(F.col("t")))
+    assert got == [["a", "b"], None, []]
+
+
+def test_metric_of_the_task(spark):
+    scores = spark.createDataFrame([("a", 0.9, 0.1), ("b", 0.1, 0.2), ("c", 0.5, 0.2)], "qymc string, FORTARGET1 double, FORTARGET2 double")
+    labels = spark.createDataFrame([("a", 1, 0), ("b", 0, 1), ("c", 0, 0), ("d", 1, 1)], "qymc string, is_shixin int, is_chufa int")
+    assert tuple(evaluate(scores, labels).head()) == (1.0, 0.75, 0.875)
+
+
 def test_flags_and_markers(spark):
     df = spark.createDataFrame([("a", 1.5), (None, None)], "s string, d double")
     assert [tuple(r) for r in fill_missing(df, ["s", "d"]).collect()] == [("a", 1.5), ("-1", -1.0)]
