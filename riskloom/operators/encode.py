@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import DataFrame, functions as F
 
 from riskloom.operators.joins import attach, lookup, with_key
@@ -12,6 +13,8 @@ from riskloom.session import stage
 
 # A column's dictionary is broadcast only if its measured size stays below this.
 BROADCAST_BYTES = 8 * 1024 * 1024
+# Dictionaries of at most this size together travel with the tasks.
+INLINE_BYTES = 512 * 1024
 
 
 def melt(df: DataFrame, keep: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -32,15 +35,33 @@ def ordinal_dictionary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                  "ordinal-dictionary", partition_by=("column",))
 
 
+def _encode_inline(df: DataFrame, dictionary: DataFrame, columns: Sequence[str], suffix: str) -> DataFrame:
+    """Codes of columns whose whole dictionaries are small: looked up within the row, without a join."""
+    rows = dictionary.filter(F.col("column").isin(*columns)).select("column", "value", "code").collect()
+    labels: dict[str, list[str]] = {c: [] for c in columns}
+    for row in sorted(rows, key=lambda r: r["code"]):
+        labels[row["column"]].append(row["value"])
+    known = [c for c in columns if labels[c]]
+    texts = df.withColumns({f"_text_{c}": F.col(c).cast("string") for c in known})
+    indexed = StringIndexerModel.from_arrays_of_labels(
+        [labels[c] for c in known], inputCols=[f"_text_{c}" for c in known],
+        outputCols=[f"_code_{c}" for c in known], handleInvalid="keep").transform(texts) if known else texts
+    code = {c: F.when(F.col(c).isNotNull(), F.col(f"_code_{c}").cast("bigint")) if c in known
+            else F.lit(None).cast("bigint") for c in columns}
+    return indexed.select(*df.columns, *[code[c].alias(c + suffix) for c in columns])
+
+
 def ordinal_encode(df: DataFrame, columns: Sequence[str], key: Sequence[str],
                    dictionary: DataFrame | None = None, suffix: str = "_encoder",
-                   broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+                   broadcast_bytes: int = BROADCAST_BYTES, inline_bytes: int = INLINE_BYTES) -> DataFrame:
     """Add ``<column>_encoder`` for every named column; null stays null.
 
     ``df`` holds train and test together, one row per ``key``, so the codes are
-    common. Small dictionaries (their bytes are measured) are broadcast and need
-    no shuffle. All the others together cost one melted, skew-safe lookup and
-    one join back, however many columns there are.
+    common. The bytes of each dictionary are measured. The smallest ones, up to
+    ``inline_bytes`` together, are looked up within the row; those of at most
+    ``broadcast_bytes`` each are broadcast; neither needs a shuffle. All the
+    others together cost one melted, skew-safe lookup and one join back,
+    however many columns there are.
     """
     dictionary = ordinal_dictionary(df, columns) if dictionary is None else dictionary
     sizes = (
@@ -49,10 +70,13 @@ def ordinal_encode(df: DataFrame, columns: Sequence[str], key: Sequence[str],
         .collect()  # one row per encoded column
     )
     size_of = {row["column"]: row["bytes"] for row in sizes}
-    small = [c for c in columns if size_of.get(c, 0) <= broadcast_bytes]
-    large = [c for c in columns if size_of.get(c, 0) > broadcast_bytes]
+    inline, small, large, total = [], [], [], 0
+    for name in sorted(columns, key=lambda c: size_of.get(c, 0)):
+        size = size_of.get(name, 0)
+        total += size
+        (large if size > broadcast_bytes else small if total > inline_bytes else inline).append(name)
 
-    encoded = df
+    encoded = _encode_inline(df, dictionary, inline, suffix) if inline else df
     for name in small:
         codes = dictionary.filter(F.col("column") == name).select(
             F.col("value").alias("_value"), F.col("code").alias(name + suffix))

@@ -82,11 +82,11 @@ def test_term_counts_agree_with_the_tokens(spark, texts):
 
 @few
 @given(values=st.lists(st.one_of(st.none(), st.text(alphabet="aB中é0", max_size=3)), min_size=1, max_size=40),
-       limit=st.sampled_from([0, 1 << 20]))
-def test_codes_are_dense_and_ordered(spark, values, limit):
+       limits=st.sampled_from([{}, {"inline_bytes": 0}, {"broadcast_bytes": 0}]))
+def test_codes_are_dense_and_ordered(spark, values, limits):
     df = spark.createDataFrame(list(enumerate(values)), "id long, v string")
     place = {v: i for i, v in enumerate(sorted({v for v in values if v is not None}))}
-    got = {r["id"]: r["v_encoder"] for r in ordinal_encode(df, ["v"], ["id"], broadcast_bytes=limit).collect()}
+    got = {r["id"]: r["v_encoder"] for r in ordinal_encode(df, ["v"], ["id"], **limits).collect()}
     assert got == {i: place.get(v) for i, v in enumerate(values)}
 
 

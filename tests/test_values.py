@@ -180,16 +180,19 @@ def test_lookup_with_hot_and_null_keys(spark, how, weighted, slots):
     assert sorted(tuple(r) for r in got.select(*got.columns).collect()) == sorted(want)
 
 
-@pytest.mark.parametrize("limit", [0, 1 << 20])
-def test_codes_over_train_and_test(spark, limit):
+@pytest.mark.parametrize("limits", [
+    {"broadcast_bytes": 0}, {"inline_bytes": 0}, {}], ids=["large", "broadcast", "inline"])
+def test_codes_over_train_and_test(spark, limits):
     df = spark.createDataFrame([(1, "train", "b"), (2, "train", None), (3, "test", "a"), (4, "test", "c"), (5, "test", "b")],
                                "id long, split string, v string")
-    got = ordinal_encode(df, ["v"], ["id"], broadcast_bytes=limit).orderBy("id").collect()
+    got = ordinal_encode(df, ["v"], ["id"], **limits).orderBy("id").collect()
     assert [r["v_encoder"] for r in got] == [1, None, 0, 2, 1]
 
 
 def test_codes_of_an_empty_column(spark):
-    df = spark.createDataFrame([(1, None)], "id long, v string")
+    df = spark.createDataFrame([(1, None, 7), (2, None, 3)], "id long, v string, w int")
+    got = ordinal_encode(df, ["v", "w"], ["id"]).orderBy("id").collect()
+    assert [(r["v_encoder"], r["w_encoder"]) for r in got] == [(None, 1), (None, 0)]
     assert ordinal_encode(df, ["v"], ["id"]).head()["v_encoder"] is None
 
 
