@@ -20,6 +20,9 @@ BATCH_CHARS = 1 << 20
 #: Distinct words and token pairs a worker remembers.
 MEMO_WORDS, MEMO_PAIRS = 500_000, 500_000
 
+#: The rank of two tokens that no merge joins.
+NEVER = 1 << 30
+
 # The fixed pattern of the vocabulary's pre-tokenizer with white space spelled
 # out, and the same for text in plain lower-case ASCII.
 _WORD = regex.compile(
@@ -47,10 +50,9 @@ class WordBpe:
         self.ids: dict[str, int] = dict(model["vocab"])
         self.added = {t["content"]: t["id"] for t in described["added_tokens"]}
         self.names = {i: name for name, i in {**self.ids, **self.added}.items()}
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
-        for rank, pair in enumerate(model["merges"]):
-            left, right = pair.split(" ") if isinstance(pair, str) else pair
-            self.merges[self.ids[left], self.ids[right]] = rank, self.ids[left + right]
+        pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        self.merged = [self.ids[left + right] for left, right in pairs]
+        self.ranks = {(self.ids[left], self.ids[right]): rank for rank, (left, right) in enumerate(pairs)}
         self.longest = max(len(name.removesuffix(self.end)) for name in self.ids)
         self.bytes = byte_characters()
         self.special = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True)))) \
@@ -65,13 +67,16 @@ class WordBpe:
 
     def merge(self, tokens: list[int]) -> list[int]:
         """Apply the lowest-ranked merge, leftmost first, until none is left."""
-        tokens = list(tokens)
-        while len(tokens) > 1:
-            found = [(self.merges[pair][0], at) for at, pair in enumerate(zip(tokens, tokens[1:])) if pair in self.merges]
-            if not found:
-                break
-            at = min(found)[1]
-            tokens[at:at + 2] = [self.merges[tokens[at], tokens[at + 1]][1]]
+        tokens, rank = list(tokens), self.ranks.get
+        ranks = [rank(pair, NEVER) for pair in zip(tokens, tokens[1:])]
+        while ranks and (best := min(ranks)) != NEVER:
+            at = ranks.index(best)
+            tokens[at:at + 2] = [self.merged[best]]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = rank((tokens[at - 1], tokens[at]), NEVER)
+            if at < len(ranks):
+                ranks[at] = rank((tokens[at], tokens[at + 1]), NEVER)
         return tokens
 
     def spelled(self, token: int) -> list[int]:

@@ -72,7 +72,7 @@ class Memo(dict):
 def arrow_map(docs: DataFrame, schema: str, rows: Callable[[list, list], dict[str, list]],
               slice_rows: int = 512) -> DataFrame:
     """Apply ``rows(ids, texts) -> columns`` to slices of an ``(id, text)`` table, batch by batch."""
-    target = to_arrow_schema(_parse_datatype_string(schema), timezone="UTC")
+    target = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
