@@ -25,6 +25,9 @@ DEPTH, RECALL = 3, 0.999
 #: Sets that are compared with each other at once; and shingles held at once.
 #: Larger buckets and groups are compared exactly too, block by block.
 SMALL, HELD = 512, 2_000_000
+#: Rows (about 100 bytes each) of the list of texts to compare that may be
+#: broadcast. A longer list meets the texts in a sort-merge join.
+BROADCAST_ROWS = 500_000
 
 
 def runs_for(recall: float = RECALL, depth: int = DEPTH) -> int:
@@ -285,7 +288,12 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, words: int
 
 
 def _with_shingles(texts: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """``wanted`` with the shingle set of each digest's first document."""
+    """``wanted`` with the shingle set of each digest's first document.
+
+    Only few texts are wanted. While their list is short it goes to the texts,
+    so that texts do not cross the network to be thrown away.
+    """
+    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
     joined = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["first_id"])).select(
         "text", "digest", "copies", "part", "blocks")
 
