@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -12,8 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.texts import Memo, arrow_map, by_size, id_and_text, segments
-from riskloom.llm.token_counts import load_tokenizer, pieces
+from riskloom.llm.texts import SURE_BORDER, UNUSUAL_SPACE, Memo, arrow_map, by_size, id_and_text, segments
+from riskloom.llm.token_counts import load_tokenizer
 from riskloom.session import stage
 
 #: Tokens of a sequence.
@@ -59,8 +60,21 @@ def encode_texts(texts: list[str], path: str) -> list[bytes]:
     return [b"".join(ids) for ids in out]
 
 
+# A letter, and a stop or comma before white space: always two words of the vocabulary.
+_ENDED = re.compile(r"([a-z])([.,][ \t\n\r])")
+
+
 def _words(text: str) -> list[str]:
-    return text.split() if text.isascii() and text.isprintable() else [p.strip(" \t\n\r") for p in pieces(text)]
+    """The text at white space, with few different parts: what never matters is made equal first.
+
+    The vocabulary ignores case, so plain ASCII is lower-cased (unless a
+    special string could arise from it), and stops are set apart from words.
+    """
+    if UNUSUAL_SPACE.search(text):
+        return [part.strip(" \t\n\r") for part in SURE_BORDER.split(text)]
+    if text.isascii() and "<|" not in text:
+        text = text.lower()
+    return _ENDED.sub(r"\1 \2", text).split()
 
 
 def token_pieces(docs: DataFrame, path: str, end_id: int = 1, capacity: int = CAPACITY,
