@@ -83,8 +83,11 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     A row that repeats an id together with its text is returned once.
     """
+    def row_key(doc_id, digest):
+        return F.concat_ws("|", doc_id.cast("string"), digest)
+
     kept = exact_duplicates(docs, id_col, text_col).filter("kept").select(
-        F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"))
-    keyed = docs.withColumn("_row_sha", text_digest(F.col(text_col)))
-    same = F.col(id_col).eqNullSafe(F.col("_kept_id")) & (F.col("_row_sha") == F.col("_kept_sha"))
-    return keyed.join(kept, same, "left_semi").dropDuplicates([id_col, "_row_sha"]).drop("_row_sha")
+        row_key(F.col("doc_id"), F.col("text_sha256")).alias("_row_key"))
+    keyed = docs.withColumn("_row_key", row_key(F.col(id_col), text_digest(F.col(text_col))))
+    # The join leaves the rows by key, so dropping repeated ones needs no further shuffle.
+    return keyed.join(kept, "_row_key", "left_semi").dropDuplicates(["_row_key"]).drop("_row_key")

@@ -92,15 +92,21 @@ class KernelModel:
 
 
 def learning_rows(docs: DataFrame, rows_per_language: int, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    """``(lang, columns)`` of at most ``rows_per_language`` rows of each language: those of smallest text hash.
+    """``(lang, columns)`` of at most ``rows_per_language`` rows of each language: those of smallest hash.
 
     Only rows that are not held out, have a language and a letter take part.
+    Counts by language thin the rows to about four times as many as wanted
+    before any text is moved, so what is moved does not grow with the table.
     ``columns`` is a bit per n-gram column, so a row has ``COLUMNS / 8`` bytes however long its text is.
     """
     labelled = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("_id")) \
-        .filter(~held_out(F.col("_id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+        .filter(~held_out(F.col("_id")) & F.col("lang").isNotNull())
+    counts = labelled.groupBy("lang").count().collect()
+    if counts:
+        share = F.create_map(*(F.lit(x) for r in counts for x in (r["lang"], 4.0 * rows_per_language / r["count"])))
+        labelled = labelled.filter(F.pmod(F.xxhash64("_id", "text"), F.lit(1 << 31)) < share[F.col("lang")] * (1 << 31))
     picked = Window.partitionBy("lang").orderBy("_key", "text")
-    sample = labelled.select("lang", "text", F.xxhash64("text").alias("_key")) \
+    sample = labelled.filter(F.col("text").rlike(r"\p{L}")).select("lang", "text", F.xxhash64("_id", "text").alias("_key")) \
         .withColumn("_nth", F.row_number().over(picked)).filter(F.col("_nth") <= rows_per_language).select("lang", "text")
 
     def rows(langs: list, texts: list) -> dict[str, list]:
@@ -154,7 +160,7 @@ def fit_language_model(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUA
     among = kernel[marks]
     left = kernel.T @ (weight * kernel) + ridge * len(sample) / len(marks) * among + 1e-8 * np.eye(len(marks))
     coefficients = np.linalg.solve(left, kernel.T @ (weight * targets))
-    return KernelModel(languages, landmarks.T.astype(np.float64) @ coefficients)
+    return KernelModel(languages, (landmarks.T @ coefficients.astype(np.float32)).astype(np.float64))
 
 
 def predict_language(docs: DataFrame, model: KernelModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
