@@ -79,12 +79,12 @@ def score_round_trip(spark, sf_dir):
 @query("""
 SELECT o_orderkey, o_custkey, o_orderstatus, 1 AS is_first_round, 0 AS source_rank FROM orders WHERE o_orderstatus = 'F'
 UNION ALL
-SELECT o_orderkey, o_custkey, o_orderstatus, 0, 1 FROM orders WHERE o_orderstatus = 'O'
+SELECT o_orderkey, o_custkey, o_orderstatus, 0, 1 FROM orders WHERE o_orderstatus IS DISTINCT FROM 'F'
 """)
 def ordered_union_provenance(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     return stack_sources(
-        [(orders.filter("o_orderstatus = 'F'"), 1), (orders.filter("o_orderstatus = 'O'"), 0)],
+        [(orders.filter("o_orderstatus = 'F'"), 1), (orders.filter("NOT o_orderstatus <=> 'F'"), 0)],
         "is_first_round", "source_rank")
 
 

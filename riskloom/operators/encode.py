@@ -36,7 +36,11 @@ def ordinal_dictionary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _encode_inline(df: DataFrame, dictionary: DataFrame, columns: Sequence[str], suffix: str) -> DataFrame:
-    """Codes of columns whose whole dictionaries are small: looked up within the row, without a join."""
+    """Codes of columns whose whole dictionaries are small: looked up within the row, without a join.
+
+    The indexer gives values it does not know the number after the last; as in
+    the joined forms they have no code.
+    """
     rows = dictionary.filter(F.col("column").isin(*columns)).select("column", "value", "code").collect()
     labels: dict[str, list[str]] = {c: [] for c in columns}
     for row in sorted(rows, key=lambda r: r["code"]):
@@ -46,7 +50,7 @@ def _encode_inline(df: DataFrame, dictionary: DataFrame, columns: Sequence[str],
     indexed = StringIndexerModel.from_arrays_of_labels(
         [labels[c] for c in known], inputCols=[f"_text_{c}" for c in known],
         outputCols=[f"_code_{c}" for c in known], handleInvalid="keep").transform(texts) if known else texts
-    code = {c: F.when(F.col(c).isNotNull(), F.col(f"_code_{c}").cast("bigint")) if c in known
+    code = {c: F.when(F.col(c).isNotNull() & (F.col(f"_code_{c}") < len(labels[c])), F.col(f"_code_{c}").cast("bigint")) if c in known
             else F.lit(None).cast("bigint") for c in columns}
     return indexed.select(*df.columns, *[code[c].alias(c + suffix) for c in columns])
 
@@ -54,7 +58,7 @@ def _encode_inline(df: DataFrame, dictionary: DataFrame, columns: Sequence[str],
 def ordinal_encode(df: DataFrame, columns: Sequence[str], key: Sequence[str],
                    dictionary: DataFrame | None = None, suffix: str = "_encoder",
                    broadcast_bytes: int = BROADCAST_BYTES, inline_bytes: int = INLINE_BYTES) -> DataFrame:
-    """Add ``<column>_encoder`` for every named column; null stays null.
+    """Add ``<column>_encoder`` for every named column; null and values missing in the dictionary have no code.
 
     ``df`` holds train and test together, one row per ``key``, so the codes are
     common. The bytes of each dictionary are measured. The smallest ones, up to
@@ -123,12 +127,14 @@ def category_code_stats(df: DataFrame, key: Sequence[str], column: str, prefix:
     code, times = F.col("code"), F.col("_times")
     sums = coded.groupBy(*key).agg(
         F.max(code).alias(f"{prefix}_max"), F.min(code).alias(f"{prefix}_min"),
-        F.sum(times).alias("_n"), F.sum(code * times).alias("_s"),
-        F.sum((code * code * times).cast("decimal(38,0)")).alias("_q"))
+        F.sum(times).alias("_n"), F.sum(code.cast("decimal(12,0)") * times.cast("decimal(13,0)")).alias("_s"),
+        F.sum((code.cast("decimal(12,0)") * code.cast("decimal(12,0)") * times.cast("decimal(13,0)")).cast("decimal(38,0)")).alias("_q"))
     n = F.col("_n").cast("double")
-    # n * sum(x^2) - (sum x)^2 is exact in integers, so nothing cancels.
-    spread = (F.col("_q") * F.col("_n") - F.col("_s").cast("decimal(19,0)") * F.col("_s").cast("decimal(19,0)")).cast("double")
+    # n * sum(x^2) - (sum x)^2 is exact in integers, so nothing cancels; beyond 38 digits doubles must do.
+    q, s, count = (F.col(c).cast("decimal(38,0)") for c in ("_q", "_s", "_n"))
+    exact = F.try_subtract(F.try_multiply(q, count), F.try_multiply(s, s)).cast("double")
+    spread = F.coalesce(exact, F.greatest(F.lit(0.0), q.cast("double") * n - s.cast("double") * s.cast("double")))
     return sums.select(
         *key, f"{prefix}_max", f"{prefix}_min",
-        (F.col("_s") / n).alias(f"{prefix}_mean"),
+        (F.col("_s").cast("double") / n).alias(f"{prefix}_mean"),
         F.sqrt(F.try_divide(spread, n * (n - 1))).alias(f"{prefix}_std"))

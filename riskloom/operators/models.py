@@ -67,7 +67,8 @@ def tree_pipeline(features: Sequence[str], label: str, trees: Trees, weight: str
     """A boosted-tree classifier on named columns.
 
     ``validation`` names a boolean column: training stops once the loss on its
-    true rows no longer falls.
+    true rows rises. A round that gains little still counts as one: with small
+    steps every round gains little.
     """
     gbt = GBTClassifier(
         labelCol=label, featuresCol="features", maxIter=trees.rounds, stepSize=trees.step, maxDepth=trees.depth,
@@ -78,6 +79,7 @@ def tree_pipeline(features: Sequence[str], label: str, trees: Trees, weight: str
         gbt = gbt.setWeightCol(weight)
     if validation:
         gbt = gbt.setValidationIndicatorCol(validation)
+        gbt.set(gbt.validationTol, 0.0)
     return Pipeline(stages=[*_assembly(features, categorical, max_categories), gbt])
 
 

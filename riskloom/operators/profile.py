@@ -12,7 +12,7 @@ from riskloom.operators.joins import attach, distinct_keys, lookup, with_key
 
 
 def profile_columns(df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
-    """``column, type, n_rows, n_present, n_distinct``, one row per column.
+    """``column, type, n_rows, n_present, n_distinct``, one row per column, of an empty table too.
 
     The exact form reduces ``(column, value)`` pairs in the map tasks and
     shuffles only distinct pairs; ``approx`` shuffles sketches alone.
@@ -32,9 +32,10 @@ def profile_columns(df: DataFrame, columns: Sequence[str] | None = None, approx:
                 F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)).alias("n_present"),
                 F.count("value").alias("n_distinct"))
         )
-    kinds = F.create_map(*[F.lit(part) for c in columns for part in (c, types[c])])
-    return profile.select("column", F.element_at(kinds, F.col("column")).alias("type"),
-                          "n_rows", "n_present", "n_distinct")
+    named = df.sparkSession.createDataFrame([(c, types[c]) for c in columns], "column string, type string")
+    none = F.lit(0).cast("bigint")
+    return named.join(profile, "column", "left").select("column", "type", *[
+        F.coalesce(n, none).alias(n) for n in ("n_rows", "n_present", "n_distinct")])
 
 
 def uninformative(profile: DataFrame, max_null_share: float = 0.9) -> DataFrame:

@@ -71,14 +71,18 @@ def blend(scores: Mapping[str, Column], weights: Mapping[str, float]) -> Column:
 
 
 def blend_tables(a: DataFrame, b: DataFrame, key: str, target1: str, target2: str) -> DataFrame:
-    """Join two models' score tables by key and blend both targets."""
+    """Join two models' score tables by key and blend both targets.
+
+    Where one model has no score, as when none of its folds passed the gate,
+    the other's stands alone.
+    """
     left = a.select(key, F.col(target1).alias("_a1"), F.col(target2).alias("_a2"))
     right = b.select(key, F.col(target1).alias("_b1"), F.col(target2).alias("_b2"))
     both = right.join(left, key, "left")
     return both.select(
         key,
-        blend({"a": F.col("_a1"), "b": F.col("_b1")}, BLEND_TARGET1).alias(target1),
-        blend({"a": F.col("_a2"), "b": F.col("_b2")}, BLEND_TARGET2).alias(target2))
+        F.coalesce(blend({"a": F.col("_a1"), "b": F.col("_b1")}, BLEND_TARGET1), "_a1", "_b1").alias(target1),
+        F.coalesce(blend({"a": F.col("_a2"), "b": F.col("_b2")}, BLEND_TARGET2), "_a2", "_b2").alias(target2))
 
 
 def rank_fusion(df: DataFrame, key: Sequence[str], weights: Mapping[str, float], name: str) -> DataFrame:

@@ -20,9 +20,10 @@ WINDOW = 5
 MIN_COUNT = 2
 SEED = 0
 
-# Spark's training keeps one vector per word on the driver, so the number of
-# words is checked before it starts.
-MAX_WORDS = 5_000_000
+# Shares the texts are trained in, and the most terms of a text that form one
+# context: fixed, so that neither the cluster nor the corpus changes the vectors.
+PARTITIONS = 8
+SENTENCE = 1_000_000
 
 
 def term_frequencies(df: DataFrame, text: Column, tokens: Tokenizer = tokenize) -> DataFrame:
@@ -61,22 +62,18 @@ def term_vector(df: DataFrame, text: Column, vocabulary: Sequence[str], name: st
     return model.setBinary(True).transform(marked).drop("_terms")
 
 
-def fit_word_vectors(df: DataFrame, text: Column, partitions: int | None = None, iterations: int = 5,
+def fit_word_vectors(df: DataFrame, text: Column, partitions: int = PARTITIONS, iterations: int = 5,
                      min_count: int = MIN_COUNT, tokens: Tokenizer = tokenize) -> Word2VecModel:
     """Train word vectors (skip-gram, hierarchical softmax) on every non-null text.
 
-    Every partition trains on its own share and the vectors are averaged after
-    each iteration; ``partitions`` defaults to the number of cores.
+    Each of ``partitions`` trains on its own share and the vectors are averaged
+    after each iteration. Spark keeps one vector per word on the driver: raise
+    ``min_count`` for a corpus whose vocabulary does not fit there.
     """
     terms = stage(df.filter(text.isNotNull()).select(tokens(text).alias("terms")), "word-vector-terms")
-    words = (
-        terms.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("tf"))
-        .filter(F.col("tf") >= min_count).count())
-    if words > MAX_WORDS:
-        raise ValueError(f"{words} words occur {min_count} times; raise min_count, at most {MAX_WORDS} fit")
     trainer = Word2Vec(
         vectorSize=VECTOR_SIZE, windowSize=WINDOW, minCount=min_count, seed=SEED, maxIter=iterations,
-        numPartitions=partitions or df.sparkSession.sparkContext.defaultParallelism,
+        numPartitions=partitions, maxSentenceLength=SENTENCE,
         inputCol="terms", outputCol="vector")
     return trainer.fit(terms)
 

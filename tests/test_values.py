@@ -10,9 +10,12 @@ from riskloom.functions.text import (
     ID_DOCUMENT_SYNONYMS, first_int, normalise_synonyms, prefix, region_code_parts, tokenize, user_tokenizer)
 from riskloom.functions.values import fill_missing, not_null_flag
 from riskloom.operators.aggregates import Feature, entity_features, summary
-from riskloom.operators.encode import category_code_stats, ordinal_encode, out_of_fold_rate
+from riskloom.operators.encode import category_code_stats, ordinal_dictionary, ordinal_encode, out_of_fold_rate
+from riskloom.operators import encode
 from riskloom.operators.joins import attach, lookup, membership_flags
+from riskloom.operators.models import Trees, tree_pipeline
 from riskloom.operators.ordering import ordered_values
+from riskloom.operators.profile import profile_columns
 from riskloom.operators.records import first_record, latest_record, stack_sources
 from riskloom.operators.sampling import hash_fold, negative_bags, stratified_fold
 from riskloom.plans.scoring import evaluate
@@ -283,3 +286,42 @@ def test_folds_cover_every_row_once(spark):
     for label in (0, 1):
         counts = [n for (y, _), n in sizes.items() if y == label]
         assert len(counts) == 10 and max(counts) - min(counts) <= 1
+
+
+def test_values_outside_the_dictionary_have_no_code_on_any_path(spark):
+    rows = spark.createDataFrame([(1, "x"), (2, "new"), (3, "y"), (4, None)], "k long, c string")
+    known = ordinal_dictionary(rows.filter("c IN ('x', 'y')"), ["c"])
+    for limits in ({}, {"inline_bytes": 0}, {"inline_bytes": 0, "broadcast_bytes": 0}):
+        coded = ordinal_encode(rows, ["c"], ["k"], dictionary=known, **limits)
+        assert dict(coded.select("k", "c_encoder").collect()) == {1: 0, 2: None, 3: 1, 4: None}
+
+
+def test_profile_of_an_empty_table(spark):
+    rows = profile_columns(spark.createDataFrame([], "a int, b string")).collect()
+    assert sorted(map(tuple, rows)) == [("a", "int", 0, 0, 0), ("b", "string", 0, 0, 0)]
+
+
+def test_blend_without_one_model(spark):
+    a = spark.createDataFrame([("p", 0.5, 1.0), ("q", 0.25, 2.0)], "k string, t1 double, t2 double")
+    b = spark.createDataFrame([("p", None, 1.0), ("q", None, None)], "k string, t1 double, t2 double")
+    found = {r["k"]: (r["t1"], r["t2"]) for r in blend_tables(a, b, "k", "t1", "t2").collect()}
+    assert found["p"][0] == 0.5 and found["q"] == (0.25, 2.0) and found["p"][1] == pytest.approx(1.0)
+
+
+def test_boosting_with_small_steps_goes_on(spark):
+    """Rounds that gain little each are all kept while the held-out loss falls."""
+    rows = spark.range(2000).select(
+        (F.col("id") % 7).cast("double").alias("x"), (F.col("id") % 7 > 2).cast("double").alias("y"),
+        (F.col("id") % 4 == 0).alias("held"))
+    trees = Trees(rounds=60, step=0.02, depth=2)
+    model = tree_pipeline(["x"], "y", trees, validation="held").fit(rows)
+    assert model.stages[-1].getNumTrees > 50
+
+
+def test_code_statistics_of_large_codes(spark, monkeypatch):
+    big = 4_000_000_000
+    monkeypatch.setattr(encode, "ordinal_dictionary", lambda df, columns: spark.createDataFrame(
+        [("v", "a", big, 2), ("v", "b", big + 1, 1)], "column string, value string, code long, n long"))
+    df = spark.createDataFrame([("e", "a"), ("e", "a"), ("e", "b")], "k string, v string")
+    row = category_code_stats(df, ["k"], "v", "c").head()
+    assert row["c_max"] == big + 1 and row["c_std"] == pytest.approx((1 / 3) ** 0.5)
