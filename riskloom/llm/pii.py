@@ -167,7 +167,7 @@ _PSEUDONYMS = {"email": email_pseudonym, "ip": ip_pseudonym, "date": date_pseudo
 
 
 def _combined() -> str:
-    """All kinds in one pattern; the two back references are renumbered by hand, as they are the only groups."""
+    """All kinds in one pattern. Only the dates have groups, so their back references keep their numbers."""
     return "|".join(f"(?:{pattern})" for pattern in KINDS.values())
 
 
@@ -204,8 +204,3 @@ def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY, text_col: str = "text"
     table need no rule. Nothing is shuffled.
     """
     return docs.withColumn(text_col, pseudonymised(F.col(text_col), F.lit(key)))
-
-
-def find_personal_data(text: Column) -> dict[str, Column]:
-    """For each kind, how many values of its form the text has (null counts none)."""
-    return {kind: F.coalesce(F.regexp_count(text, F.lit(pattern)), F.lit(0)).cast("long") for kind, pattern in KINDS.items()}
