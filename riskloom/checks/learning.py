@@ -1,4 +1,4 @@
-"""Learned models: only their rows are checked."""
+"""Learned models: their rows are checked, and what they must learn where a rule made the label."""
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
@@ -6,14 +6,15 @@ from pyspark.sql import functions as F
 from riskloom.checks import query, table
 from riskloom.operators.encode import ordinal_encode
 from riskloom.operators.models import (
-    Trees, feature_importances, fit_with_best_rounds, model_input, out_of_fold, predict, search_one_at_a_time,
-    tree_pipeline)
+    Trees, feature_importances, fit_with_best_rounds, fit_with_patience, load_tree_model, model_input, most_categories,
+    out_of_fold, predict, save_model, search_one_at_a_time, tree_pipeline)
 from riskloom.operators.sampling import hash_fold, holdout_split, negative_bags, sample_weights
 from riskloom.operators.scoring import bag_average
 from riskloom.operators.terms import term_vector, top_terms
-from riskloom.session import spread, stage
+from riskloom.session import spread, stage, staging_path
 
 FEATURES = ["n_chars", "lang_encoder", "source_encoder"]
+CATEGORIES = ["lang_encoder", "source_encoder"]
 SMALL = Trees(rounds=5, step=0.1, depth=3, bins=32)
 
 
@@ -34,7 +35,7 @@ def gbt_score(spark, sf_dir):
         "is_validation", holdout_split(["doc_id"], 0.1, 1) == "test")
     bags = stage(negative_bags(train, ["doc_id"], "toxic", bags=2, seed=0), "bags")
     pipeline = tree_pipeline(FEATURES, "toxic", SMALL, weight="weight", validation="is_validation",
-                             categorical=["lang_encoder", "source_encoder"])
+                             categorical=CATEGORIES, max_categories=most_categories(bags, CATEGORIES))
     scores = None
     for bag in range(2):
         part = predict(pipeline.fit(bags.filter(F.col("bag") == bag)), rows, ["doc_id"], "p")
@@ -78,3 +79,71 @@ def term_stacking_score(spark, sf_dir):
     model = LogisticRegression(labelCol="quality", maxIter=10, regParam=0.1)
     held, scored = out_of_fold(model.fit, train, test, ["doc_id"], "fold", 3, "score")
     return held.unionByName(scored)
+
+
+# Models of a label that a rule makes from a category must give the rule back.
+
+RULE = Trees(rounds=20, step=0.5, depth=3, bins=32)
+RULE_FEATURES = ["o_orderpriority_encoder", "constant"]
+RULE_SQL = """
+SELECT o_orderkey, CAST(o_orderpriority IN ('1-URGENT', '4-NOT SPECIFIED') AS INTEGER) AS predicted FROM orders
+"""
+
+
+def rule_rows(spark, sf_dir):
+    """All orders with the code of their priority and a label that two priorities have."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    coded = ordinal_encode(orders, ["o_orderpriority"], ["o_orderkey"]).withColumns({
+        "label": F.col("o_orderpriority").isin("1-URGENT", "4-NOT SPECIFIED").cast("double"), "constant": F.lit(1),
+        "fold": hash_fold(["o_orderkey"], 3, 2018)})
+    return stage(model_input(coded, ["o_orderkey", "label", "fold"], RULE_FEATURES), "rule-rows")
+
+
+def predicted_class(scores):
+    return scores.select("o_orderkey", (F.col("score") > 0.5).cast("int").alias("predicted"))
+
+
+@query(RULE_SQL)
+def tree_rule_class(spark, sf_dir):
+    """Category-aware trees that stop with patience."""
+    rows = rule_rows(spark, sf_dir)
+    category = RULE_FEATURES[:1]
+    model = fit_with_patience(rows.filter("fold > 0"), rows.filter("fold = 0"), RULE_FEATURES, "label", RULE,
+                              categorical=category, max_categories=most_categories(rows, category))
+    return predicted_class(predict(model, rows, ["o_orderkey"], "score"))
+
+
+@query(RULE_SQL)
+def tree_rule_saved_model(spark, sf_dir):
+    """A model that was written and read back."""
+    rows = rule_rows(spark, sf_dir)
+    path = staging_path(spark, "model")
+    save_model(tree_pipeline(RULE_FEATURES, "label", RULE).fit(rows), path)
+    return predicted_class(predict(load_tree_model(path), rows, ["o_orderkey"], "score"))
+
+
+@query(RULE_SQL)
+def tree_rule_cv_rounds(spark, sf_dir):
+    """Rounds by cross-validation, then a fit on all rows."""
+    rows = rule_rows(spark, sf_dir)
+    model = fit_with_best_rounds(rows, RULE_FEATURES, "label", "fold", 3, RULE)
+    return predicted_class(predict(model, rows, ["o_orderkey"], "score"))
+
+
+@query(RULE_SQL)
+def tree_rule_out_of_fold(spark, sf_dir):
+    """Each row once: those of two folds by the model that did not see them, those of the third by the mean."""
+    rows = rule_rows(spark, sf_dir)
+    held, scored = out_of_fold(tree_pipeline(RULE_FEATURES, "label", RULE).fit, rows.filter("fold < 2"),
+                               rows.filter("fold = 2"), ["o_orderkey"], "fold", 2, "score")
+    return predicted_class(held.unionByName(scored))
+
+
+@query("""
+SELECT * FROM (VALUES ('o_orderpriority_encoder', CAST(1 AS DOUBLE)), ('constant', CAST(0 AS DOUBLE))) AS t (feature, importance)
+""")
+def tree_rule_importance(spark, sf_dir):
+    """The only feature that tells anything has all the importance."""
+    rows = rule_rows(spark, sf_dir)
+    found = feature_importances(tree_pipeline(RULE_FEATURES, "label", RULE).fit(rows), rows, RULE_FEATURES)
+    return found.select("feature", F.round("importance", 9).alias("importance"))

@@ -13,6 +13,8 @@ from riskloom.session import stage
 
 # A column's dictionary is broadcast only if its measured size stays below this.
 BROADCAST_BYTES = 8 * 1024 * 1024
+# So many bytes of dictionaries are broadcast in one plan.
+BROADCAST_TOTAL = 4 * BROADCAST_BYTES
 # Dictionaries of at most this size together travel with the tasks.
 INLINE_BYTES = 512 * 1024
 
@@ -57,14 +59,15 @@ def _encode_inline(df: DataFrame, dictionary: DataFrame, columns: Sequence[str],
 
 def ordinal_encode(df: DataFrame, columns: Sequence[str], key: Sequence[str],
                    dictionary: DataFrame | None = None, suffix: str = "_encoder",
-                   broadcast_bytes: int = BROADCAST_BYTES, inline_bytes: int = INLINE_BYTES) -> DataFrame:
+                   broadcast_bytes: int = BROADCAST_BYTES, inline_bytes: int = INLINE_BYTES,
+                   broadcast_total: int = BROADCAST_TOTAL) -> DataFrame:
     """Add ``<column>_encoder`` for every named column; null and values missing in the dictionary have no code.
 
     ``df`` holds train and test together, one row per ``key``, so the codes are
     common. The bytes of each dictionary are measured. The smallest ones, up to
     ``inline_bytes`` together, are looked up within the row; those of at most
-    ``broadcast_bytes`` each are broadcast; neither needs a shuffle. All the
-    others together cost one melted, skew-safe lookup and one join back,
+    ``broadcast_bytes`` each and ``broadcast_total`` together are broadcast;
+    neither needs a shuffle. All the others together cost one melted, skew-safe lookup and one join back,
     however many columns there are.
     """
     dictionary = ordinal_dictionary(df, columns) if dictionary is None else dictionary
@@ -78,7 +81,10 @@ def ordinal_encode(df: DataFrame, columns: Sequence[str], key: Sequence[str],
     for name in sorted(columns, key=lambda c: size_of.get(c, 0)):
         size = size_of.get(name, 0)
         total += size
-        (large if size > broadcast_bytes else small if total > inline_bytes else inline).append(name)
+        if size > broadcast_bytes or total > inline_bytes + broadcast_total:
+            large.append(name)
+        else:
+            (small if total > inline_bytes else inline).append(name)
 
     encoded = _encode_inline(df, dictionary, inline, suffix) if inline else df
     for name in small:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator, MulticlassClassificationEvaluator
@@ -15,6 +17,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.functions.values import MISSING
 
+#: Rounds of the first fit when a number of rounds is looked for; each further fit has twice as many.
+FIRST_ROUNDS = 250
+#: Models that are fitted at the same time.
+PARALLEL_FITS = 4
+
 
 @dataclass(frozen=True)
 class Trees:
@@ -28,6 +35,7 @@ class Trees:
     columns_share: float = 1.0
     min_rows: int = 1
     min_gain: float = 0.0
+    patience: int = 100
     seed: int = 2018
 
 
@@ -35,7 +43,7 @@ class Trees:
 # A limit of 127 leaves corresponds to a depth of 7.
 MODEL_A_TARGET1 = Trees(8000, 0.05, 6, rows_share=0.9, columns_share=0.95, min_rows=1)
 MODEL_A_TARGET2 = Trees(8000, 0.03, 13, rows_share=0.9, columns_share=0.95, min_rows=3)
-MODEL_B_TARGET1 = Trees(5000, 0.02, 7, bins=425, min_rows=5)
+MODEL_B_TARGET1 = Trees(5000, 0.02, 7, bins=425, min_rows=5, patience=200)
 MODEL_B_TARGET2 = Trees(5000, 0.05, 7, bins=425, min_rows=5)
 
 
@@ -49,7 +57,7 @@ def model_input(df: DataFrame, keep: Sequence[str], features: Sequence[str]) ->
 
 
 def _assembly(features: Sequence[str], categorical: Sequence[str], max_categories: int) -> list:
-    """Stages that build ``features``; categorical columns with few values are split as categories."""
+    """Stages that build ``features``; categorical columns of at most ``max_categories`` values are split as categories."""
     categorical = [c for c in features if c in set(categorical)]
     if not categorical:
         return [VectorAssembler(inputCols=list(features), outputCol="features")]
@@ -61,11 +69,19 @@ def _assembly(features: Sequence[str], categorical: Sequence[str], max_categorie
     ]
 
 
+def most_categories(df: DataFrame, columns: Sequence[str]) -> int:
+    """The number of values of the column that has most; 0 without columns."""
+    return max(df.agg(*[F.count_distinct(c) for c in columns]).head()) if columns else 0
+
+
 def tree_pipeline(features: Sequence[str], label: str, trees: Trees, weight: str | None = None,
                   validation: str | None = None, categorical: Sequence[str] = (),
-                  max_categories: int = 64) -> Pipeline:
+                  max_categories: int = 0) -> Pipeline:
     """A boosted-tree classifier on named columns.
 
+    ``max_categories`` is what :func:`most_categories` counted for the
+    ``categorical`` columns; the bins are raised to fit, so no column turns
+    into a number because it has many values.
     ``validation`` names a boolean column: training stops once the loss on its
     true rows rises. A round that gains little still counts as one: with small
     steps every round gains little.
@@ -93,16 +109,65 @@ def predict(model: Model, df: DataFrame, keep: Sequence[str], name: str) -> Data
     return model.transform(df).select(*keep, probability().alias(name))
 
 
+def in_parallel(task: Callable[[int], object], number: int, at_once: int = PARALLEL_FITS) -> list:
+    """``task(0) .. task(number - 1)``, some Spark jobs at a time."""
+    with ThreadPool(min(at_once, number)) as pool:
+        return pool.map(inheritable_thread_target(task), range(number), chunksize=1)
+
+
+def stopping_round(losses: Sequence[float], patience: int) -> tuple[int, bool]:
+    """The best round (from 1) before ``patience`` rounds without a better one, and whether these were seen."""
+    best = 0
+    for at, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = at
+        elif at - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def rounds_with_patience(losses: Callable[[int], Sequence[float]], trees: Trees, first: int = FIRST_ROUNDS) -> int:
+    """The rounds at which training with patience ends; ``losses(n)`` trains ``n`` rounds.
+
+    Spark cannot train on, so each fit starts anew with twice the rounds until
+    the patience is used up. The first rounds of all fits are alike, so the
+    result does not depend on ``first``.
+    """
+    rounds = min(first, trees.rounds)
+    while True:
+        best, stopped = stopping_round(losses(rounds), trees.patience)
+        if stopped or rounds >= trees.rounds:
+            return best
+        rounds = min(2 * rounds, trees.rounds)
+
+
+def held_out_losses(pipeline: Pipeline, train: DataFrame, held: DataFrame) -> list[float]:
+    """Loss on ``held`` after each round of a model that learns from ``train``."""
+    fitted = pipeline.fit(train)
+    return fitted.stages[-1].evaluateEachIteration(PipelineModel(fitted.stages[:-1]).transform(held))
+
+
 def best_rounds(df: DataFrame, features: Sequence[str], label: str, fold: str, folds: int, trees: Trees,
-                weight: str | None = None) -> int:
-    """The number of rounds with the least mean validation loss over the folds."""
-    total = [0.0] * trees.rounds
-    for i in range(folds):
-        fitted = tree_pipeline(features, label, trees, weight).fit(df.filter(F.col(fold) != i))
-        held = PipelineModel(fitted.stages[:-1]).transform(df.filter(F.col(fold) == i))
-        losses = fitted.stages[-1].evaluateEachIteration(held)
-        total = [t + loss for t, loss in zip(total, losses)]
-    return total.index(min(total)) + 1
+                weight: str | None = None, first: int = FIRST_ROUNDS) -> int:
+    """The number of rounds with the least mean validation loss over the folds, within the patience."""
+    def mean_losses(rounds: int) -> list[float]:
+        pipeline = tree_pipeline(features, label, replace(trees, rounds=rounds), weight)
+        each = in_parallel(lambda i: held_out_losses(pipeline, df.filter(F.col(fold) != i), df.filter(F.col(fold) == i)), folds)
+        return [sum(losses) / folds for losses in zip(*each)]
+
+    return rounds_with_patience(mean_losses, trees, first)
+
+
+def fit_with_patience(train: DataFrame, held: DataFrame, features: Sequence[str], label: str, trees: Trees,
+                      weight: str | None = None, categorical: Sequence[str] = (), max_categories: int = 0,
+                      first: int = FIRST_ROUNDS) -> PipelineModel:
+    """A model of ``train`` that stops after ``trees.patience`` rounds without a smaller loss on ``held``."""
+    def pipeline(rounds: int) -> Pipeline:
+        return tree_pipeline(features, label, replace(trees, rounds=rounds), weight, categorical=categorical,
+                             max_categories=max_categories)
+
+    rounds = rounds_with_patience(lambda n: held_out_losses(pipeline(n), train, held), trees, first)
+    return pipeline(rounds).fit(train)
 
 
 def fit_with_best_rounds(df: DataFrame, features: Sequence[str], label: str, fold: str, folds: int, trees: Trees,
@@ -112,6 +177,15 @@ def fit_with_best_rounds(df: DataFrame, features: Sequence[str], label: str, fol
     return tree_pipeline(features, label, replace(trees, rounds=rounds), weight).fit(df)
 
 
+def mean_score(models: Sequence[Model], df: DataFrame, keep: Sequence[str], name: str) -> DataFrame:
+    """``keep`` and the mean score of the models, null without any; one column a model, so nothing is shuffled."""
+    scored = df
+    for i, model in enumerate(models):
+        scored = model.transform(scored).select(*scored.columns, probability().alias(f"_p{i}"))
+    total = sum((F.col(f"_p{i}") for i in range(1, len(models))), F.col("_p0")) if models else F.lit(None).cast("double")
+    return scored.select(*keep, (total / max(len(models), 1)).alias(name))
+
+
 def out_of_fold(fit: Callable[[DataFrame], Model], train: DataFrame, test: DataFrame, key: Sequence[str],
                 fold: str, folds: int, name: str) -> tuple[DataFrame, DataFrame]:
     """Stacking input: each train row scored by the model that did not see it,
@@ -124,11 +198,7 @@ def out_of_fold(fit: Callable[[DataFrame], Model], train: DataFrame, test: DataF
     for i, model in enumerate(models):
         part = predict(model, train.filter(F.col(fold) == i), key, name)
         held = part if held is None else held.unionByName(part)
-    scored = test
-    for i, model in enumerate(models):
-        scored = model.transform(scored).select(*scored.columns, probability().alias(f"_p{i}"))
-    mean = sum((F.col(f"_p{i}") for i in range(1, folds)), F.col("_p0")) / folds
-    return held, scored.select(*key, mean.alias(name))
+    return held, mean_score(models, test, key, name)
 
 
 def search_one_at_a_time(df: DataFrame, pipeline: Pipeline, grids: Mapping[str, Sequence], label: str,

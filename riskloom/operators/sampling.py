@@ -33,8 +33,8 @@ def stratified_fold(df: DataFrame, key: Sequence[str], label: str, folds: int, s
     Rows of a class are dealt out in the order of their hashed keys. The hash
     is uniform, so its range is cut into equal ``buckets``: each is ordered by
     itself, and the rows before it are known from one count per class and
-    bucket. Two classes never mean two tasks. ``key`` identifies a row, and a
-    label has few classes: the counts are at most classes times buckets.
+    bucket. Two classes never mean two tasks. ``key`` identifies a row. The counts
+    meet the rows where these already are, whatever the number of classes.
     """
     hashed = key_hash(key, seed)
     dealt = df.withColumns({"_hash": hashed, "_bucket": F.floor(hashed / (HASH_RANGE // buckets)).cast("int")})
@@ -43,7 +43,7 @@ def stratified_fold(df: DataFrame, key: Sequence[str], label: str, folds: int, s
     before = counts.select(label, "_bucket", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     inside = Window.partitionBy(label, "_bucket").orderBy("_hash", *[F.col(c).cast("string") for c in key])
     placed = dealt.withColumn("_place", F.row_number().over(inside) - 1)
-    return placed.join(F.broadcast(before), [label, "_bucket"], "left").select(
+    return placed.join(before, [label, "_bucket"], "left").select(
         *df.columns, ((F.col("_before") + F.col("_place")) % folds).cast("int").alias(name))
 
 

@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, functions as F
 from riskloom.operators.aggregates import Feature, entity_features
 from riskloom.operators.joins import attach, membership_flags
 from riskloom.operators.models import (
-    MODEL_A_TARGET1, MODEL_A_TARGET2, MODEL_B_TARGET1, MODEL_B_TARGET2, Trees, fit_with_best_rounds, model_input,
-    predict, tree_pipeline)
+    MODEL_A_TARGET1, MODEL_A_TARGET2, MODEL_B_TARGET1, MODEL_B_TARGET2, Trees, fit_with_best_rounds, fit_with_patience,
+    in_parallel, mean_score, model_input, most_categories, predict)
 from riskloom.operators.sampling import hash_fold, negative_bags, sample_weights
 from riskloom.operators.scoring import (
-    auc_exact, bag_average, base_rules, blend_tables, extended_rules, fold_gate_average)
+    FOLD_AUC_GATE, auc_exact, bag_average, base_rules, blend_tables, extended_rules)
 from riskloom.plans.features import KEY
 from riskloom.session import stage
 
@@ -100,19 +100,17 @@ def score_a(train: DataFrame, test: DataFrame, settings: Settings) -> DataFrame:
     return stage(target1.join(predict(model, test, ["qymc"], "FORTARGET2"), "qymc"), "scores-a")
 
 
-def _fold_scores(train: DataFrame, test: DataFrame, features: Sequence[str], label: str, folds: int,
-                 trees: Trees) -> tuple[DataFrame, DataFrame]:
-    """One weighted, category-aware model per fold: test scores and validation AUCs in long form."""
-    scores, metrics = None, []
-    for fold in range(folds):
-        marked = train.withColumn("is_validation", F.col("fold") == fold)
-        model = tree_pipeline(features, label, trees, weight="weight", validation="is_validation",
-                              categorical=CATEGORICAL).fit(marked)
-        held = predict(model, train.filter(F.col("fold") == fold), ["qymc", label], "p")
-        metrics.append((fold, auc_exact(held, "p", label).head()["auc"]))
-        part = predict(model, test, ["qymc"], "p").withColumn("fold", F.lit(fold))
-        scores = part if scores is None else scores.unionByName(part)
-    return scores, train.sparkSession.createDataFrame(metrics, "fold int, auc double")
+def _fold_models(train: DataFrame, features: Sequence[str], label: str, folds: int, trees: Trees) -> list[tuple]:
+    """One weighted, category-aware model per fold, with its validation AUC."""
+    categories = most_categories(train, [c for c in features if c in set(CATEGORICAL)])
+
+    def fit(fold: int) -> tuple:
+        held = train.filter(F.col("fold") == fold)
+        model = fit_with_patience(train.filter(F.col("fold") != fold), held, features, label, trees, weight="weight",
+                                  categorical=CATEGORICAL, max_categories=categories)
+        return model, auc_exact(predict(model, held, ["qymc", label], "p"), "p", label).head()["auc"]
+
+    return in_parallel(fit, folds)
 
 
 def score_b(train: DataFrame, test: DataFrame, settings: Settings) -> DataFrame:
@@ -121,14 +119,15 @@ def score_b(train: DataFrame, test: DataFrame, settings: Settings) -> DataFrame:
         "fold", hash_fold(["qymc"], settings.folds, 2018)), "bags-b", partition_by=("bag",))
     parts = None
     for bag in range(settings.bags):
-        scores, metrics = _fold_scores(bags.filter(F.col("bag") == bag).drop("bag"), test, FEATURES_B1, "is_shixin",
-                                       settings.folds, settings.b1)
-        part = fold_gate_average(scores, metrics, ["qymc"], "p", "p")
+        models = _fold_models(bags.filter(F.col("bag") == bag).drop("bag"), FEATURES_B1, "is_shixin",
+                              settings.folds, settings.b1)
+        good = [model for model, auc in models if auc is not None and auc > FOLD_AUC_GATE]
+        part = mean_score(good, test, ["qymc"], "p")
         parts = part if parts is None else parts.unionByName(part)
     target1 = bag_average(parts, ["qymc"], "p", "FORTARGET1")
     folded = train.withColumn("fold", hash_fold(["qymc"], settings.folds, 2018))
-    scores, _ = _fold_scores(folded, test, FEATURES_B2, "is_chufa", settings.folds, settings.b2)
-    return stage(target1.join(bag_average(scores, ["qymc"], "p", "FORTARGET2"), "qymc"), "scores-b")
+    models = [model for model, _ in _fold_models(folded, FEATURES_B2, "is_chufa", settings.folds, settings.b2)]
+    return stage(target1.join(mean_score(models, test, ["qymc"], "FORTARGET2"), "qymc"), "scores-b")
 
 
 def rule_flags(tables: Mapping[str, DataFrame], spine: DataFrame) -> DataFrame:

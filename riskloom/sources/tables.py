@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -40,42 +43,70 @@ def _cell(name: str, kind: str):
     return text if kind == "string" else text.try_cast(kind)
 
 
-def has_line_breaks(spark: SparkSession, path: str) -> bool:
-    """Whether a quoted cell may run over a line break: some line has an odd number of quotes."""
+def files_with_line_breaks(spark: SparkSession, path: str) -> dict[str, bool]:
+    """For each file with a line whether a quoted cell may run over a line break: some line has an odd number of quotes."""
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
+    files = spark.read.text(path).select(quotes.alias("quotes"), "_metadata.file_path") \
+        .groupBy("file_path").agg(F.max(F.col("quotes") % 2 == 1).alias("broken"))
+    return {row["file_path"]: row["broken"] for row in files.collect()}  # a row for each file
+
+
+def _literal(uri: str) -> str:
+    """A file's name as the readers take it, with signs of a pattern escaped."""
+    return re.sub(r"([\[\]{}*?])", r"\\\1", unquote(uri))
+
+
+def _per_file(spark: SparkSession, path: str, multiline: bool | None,
+              read: Callable[[str | list[str], bool], DataFrame]) -> DataFrame:
+    """``read(paths, multiline)`` of the files with line breaks and of all others, put together.
+
+    A file with quoted line breaks is read in one task, any other is split.
+    Unless ``multiline`` says which, the lines are scanned first, in parallel.
+    """
+    if multiline is not None:
+        return read(path, multiline)
+    files = files_with_line_breaks(spark, path)
+    if len(set(files.values())) < 2:
+        return read(path, any(files.values()))
+    parts = [read(sorted(_literal(name) for name, broken in files.items() if broken == lines), lines)
+             for lines in (False, True)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def read_csv(spark: SparkSession, path: str, contract: Contract, multiline: bool | None = None) -> DataFrame:
     """One raw file (or folder of files) under its contract.
 
     Columns are found by header, so their order in the file does not matter.
-    Quoted line breaks need ``multiline``, which reads each file in one task.
-    By default the lines are scanned for them first, in parallel, and only
-    files that have some are read that way; all others are split.
+    Quoted line breaks need ``multiline``, which reads each file in one task;
+    by default only files that have some are read that way.
     """
-    if multiline is None:
-        multiline = has_line_breaks(spark, path)
-    raw = _csv(spark, multiline).option("header", True).csv(path)
-    present = {name.lstrip("\ufeff"): name for name in raw.columns}
-    if "企业名称" not in present:
-        raise ValueError(f"{path}: no column 企业名称")
-    kept = [(present[header], alias) for header, alias in contract.names.items() if header in present]
-    return _with_order(raw).select(
-        *[_cell(name, "double" if alias in contract.numbers else "string").alias(alias) for name, alias in kept],
-        "_file", "_block", "_row")
+    def read(paths: str | list[str], lines: bool) -> DataFrame:
+        raw = _csv(spark, lines).option("header", True).csv(paths)
+        present = {name.lstrip("\ufeff"): name for name in raw.columns}
+        if "企业名称" not in present:
+            raise ValueError(f"{path}: no column 企业名称")
+        kept = [(present[header], alias) for header, alias in contract.names.items() if header in present]
+        return _with_order(raw).select(
+            *[_cell(name, "double" if alias in contract.numbers else "string").alias(alias) for name, alias in kept],
+            "_file", "_block", "_row")
+
+    return _per_file(spark, path, multiline, read)
 
 
 def read_typed_csv(spark: SparkSession, path: str, schema: str, header: bool = True,
-                   multiline: bool = True) -> DataFrame:
+                   multiline: bool | None = None) -> DataFrame:
     """A CSV with a declared schema; nothing is inferred."""
-    return _csv(spark, multiline).option("header", header).schema(schema).csv(path)
+    return _per_file(spark, path, multiline, lambda paths, lines: _csv(spark, lines).option(
+        "header", header).schema(schema).csv(paths))
 
 
-def read_name_list(spark: SparkSession, path: str, name: str = "qymc") -> DataFrame:
+def read_name_list(spark: SparkSession, path: str, name: str = "qymc", multiline: bool | None = None) -> DataFrame:
     """The first column of a headerless file, such as a bare list of names."""
-    raw = _csv(spark, True).option("header", False).csv(path)
-    return raw.select(_cell(raw.columns[0], "string").alias(name))
+    def read(paths: str | list[str], lines: bool) -> DataFrame:
+        raw = _csv(spark, lines).option("header", False).csv(paths)
+        return raw.select(_cell(raw.columns[0], "string").alias(name))
+
+    return _per_file(spark, path, multiline, read)
 
 
 def read_table(spark: SparkSession, root: str, contract: Contract, multiline: bool | None = None) -> DataFrame:

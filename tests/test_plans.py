@@ -185,7 +185,7 @@ def test_score_all(spark, tables, built):
     scores = score_enterprises(tables, built, Settings(bags=2, folds=2, a1=small, a2=small, b1=small, b2=small, extended=True))
     rows = scores.collect()
     assert {r["qymc"] for r in rows} == {r["qymc"] for r in built.filter("split = 'test'").select("qymc").collect()}
-    assert all(r["FORTARGET2"] is not None and 0 <= r["FORTARGET2"] <= 1 for r in rows)
+    assert all(r[c] is not None and 0 <= r[c] <= 1 for r in rows for c in ("FORTARGET1", "FORTARGET2"))
 
 
 def test_job_steps(spark, raw, tmp_path):

@@ -7,7 +7,8 @@ import pytest
 from riskloom.operators.records import first_record
 from riskloom.sources.contracts import CONTRACTS, Contract
 from riskloom.sources.sinks import write_features, write_scores, write_tables
-from riskloom.sources.tables import ORDER, read_csv, read_name_list, read_raw, read_scores, read_staged, read_typed_csv
+from riskloom.sources.tables import (
+    ORDER, files_with_line_breaks, read_csv, read_name_list, read_raw, read_scores, read_staged, read_typed_csv)
 
 
 def test_contract_reading(spark, tmp_path):
@@ -71,3 +72,23 @@ def test_score_and_feature_files(spark, tmp_path):
     assert sorted(tuple(r) for r in read_scores(spark, str(tmp_path / "s")).collect()) == [("丙", 0.1, None), ("甲,乙", 0.25, 0.5)]
     write_features(df, str(tmp_path / "f"), "csv")
     assert spark.read.option("header", True).csv(str(tmp_path / "f")).count() == 2
+
+
+def test_only_files_with_line_breaks_are_read_whole(spark, tmp_path):
+    folder = tmp_path / "some rows 表"
+    folder.mkdir()
+    (folder / "plain [1].csv").write_text("k,v\n" + "".join(f"p{i},{'x' * 50}\n" for i in range(2000)))
+    (folder / "broken two.csv").write_text('k,v\nb1,"one\ntwo"\nb2,three\n')
+    path = str(tmp_path / "some rows*")
+    assert sorted(files_with_line_breaks(spark, path).values()) == [False, True]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        found = read_typed_csv(spark, path, "k string, v string")
+        assert found.rdd.getNumPartitions() > 4
+        rows = dict(map(tuple, found.collect()))
+        names = {r["k"] for r in read_name_list(spark, path, "k").collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(rows) == 2002 and rows["b1"] == "one\ntwo" and rows["b2"] == "three"
+    assert names == {*rows, "k"}

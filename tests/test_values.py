@@ -13,7 +13,8 @@ from riskloom.operators.aggregates import Feature, entity_features, summary
 from riskloom.operators.encode import category_code_stats, ordinal_dictionary, ordinal_encode, out_of_fold_rate
 from riskloom.operators import encode
 from riskloom.operators.joins import attach, lookup, membership_flags
-from riskloom.operators.models import Trees, tree_pipeline
+from riskloom.operators.models import (
+    Trees, fit_with_patience, mean_score, most_categories, predict, rounds_with_patience, stopping_round, tree_pipeline)
 from riskloom.operators.ordering import ordered_values
 from riskloom.operators.profile import profile_columns
 from riskloom.operators.records import first_record, latest_record, stack_sources
@@ -325,3 +326,34 @@ def test_code_statistics_of_large_codes(spark, monkeypatch):
     df = spark.createDataFrame([("e", "a"), ("e", "a"), ("e", "b")], "k string, v string")
     row = category_code_stats(df, ["k"], "v", "c").head()
     assert row["c_max"] == big + 1 and row["c_std"] == pytest.approx((1 / 3) ** 0.5)
+
+
+def test_dictionaries_beyond_the_total_are_joined(spark):
+    rows = spark.createDataFrame([(1, "x", "u"), (2, "y", "v"), (3, None, "u")], "k long, c string, d string")
+    for total in (0, 200, 1 << 20):
+        coded = ordinal_encode(rows, ["c", "d"], ["k"], inline_bytes=0, broadcast_total=total)
+        assert {tuple(r) for r in coded.select("k", "c_encoder", "d_encoder").collect()} == {(1, 0, 0), (2, 1, 1), (3, None, 0)}
+
+
+def test_patience():
+    assert stopping_round([3.0, 2.0, 2.5, 2.4, 2.3], 3) == (2, True)
+    assert stopping_round([3.0, 2.0, 2.5, 1.9], 3) == (4, False)
+    curve = [abs(i - 700) / 100 + 1 for i in range(3000)]
+    tried = []
+    for first in (10, 250, 3000):
+        assert rounds_with_patience(lambda n: tried.append(n) or curve[:n], Trees(3000, 0.1, 2, patience=100), first) == 701
+    assert tried[:3] == [10, 20, 40] and max(tried[:-1]) < 3000
+    assert rounds_with_patience(lambda n: curve[:n], Trees(300, 0.1, 2, patience=100), 250) == 300
+
+
+def test_categories_of_many_values_stay_categories(spark):
+    """A label that alternates along the codes is one split for a category and out of reach of shallow numeric trees."""
+    rows = spark.range(3000).select((F.col("id") % 150).cast("double").alias("c"), (F.col("id") % 2).cast("double").alias("y"))
+    assert most_categories(rows, ["c"]) == 150 and most_categories(rows, []) == 0
+    model = fit_with_patience(rows, rows, ["c"], "y", Trees(5, 0.5, 1, bins=16), categorical=["c"],
+                              max_categories=most_categories(rows, ["c"]))
+    assert predict(model, rows, ["y"], "p").filter((F.col("p") > 0.5) != (F.col("y") == 1)).isEmpty()
+
+
+def test_mean_of_no_model(spark):
+    assert mean_score([], spark.range(2), ["id"], "p").filter("p IS NULL").count() == 2
