@@ -29,4 +29,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def load() -> None:
     """Import every module that registers queries."""
     from riskloom.checks import (  # noqa: F401
-        aggregates, cleaning, encoding, entities, learning, profiles, samples, scalars, scores, terms)
+        aggregates, cleaning, encoding, entities, learning, plan, profiles, samples, scalars, scores, terms)
