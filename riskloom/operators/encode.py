@@ -124,11 +124,12 @@ def category_code_stats(df: DataFrame, key: Sequence[str], column: str, prefix:
     """Max, min, mean and sample deviation of a text column's ordinal codes per key.
 
     Rows are reduced to one per key and value before the codes are looked up,
-    and the statistics are put together from the counts.
+    and the statistics are put together from the counts. The reduced rows are
+    written, so that looking for hot values does not count again.
     """
     codes = ordinal_dictionary(df, [column])
-    cells = with_key(df, [*key, column]).groupBy(*key, F.col(column).cast("string").alias("value")) \
-        .agg(F.count(F.lit(1)).alias("_times"))
+    cells = stage(with_key(df, [*key, column]).groupBy(*key, F.col(column).cast("string").alias("value"))
+                  .agg(F.count(F.lit(1)).alias("_times")), "code-cells")
     coded = lookup(cells, codes.select("value", "code"), ["value"], spread_by=key, how="inner")
     code, times = F.col("code"), F.col("_times")
     sums = coded.groupBy(*key).agg(

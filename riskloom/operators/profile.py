@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.operators.encode import melt
 from riskloom.operators.joins import attach, distinct_keys, lookup, with_key
+from riskloom.session import stage
 
 
 def profile_columns(df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
@@ -97,11 +98,12 @@ def target_rate(detail: DataFrame, labels: DataFrame, key: Sequence[str], catego
     """``category, label_mean, label_sum, n_rows`` over the labelled detail rows.
 
     Detail rows are counted per key and category first, so the join sees one
-    row per pair; a key with very many categories is looked up without moving
+    row per pair; the counts are written, so that looking for hot keys does not
+    count again. A key with very many categories is looked up without moving
     its rows into one task. ``labels`` is unique on ``key``.
     Rows without a label count in ``n_rows`` and not in the mean.
     """
-    cells = with_key(detail, category).groupBy(*key, *category).agg(F.count(F.lit(1)).alias("_n"))
+    cells = stage(with_key(detail, category).groupBy(*key, *category).agg(F.count(F.lit(1)).alias("_n")), "category-cells")
     labelled = lookup(cells, labels.select(*key, label), key, spread_by=[*key, *category])
     hits = F.sum(F.col(label) * F.col("_n"))
     known = F.sum(F.when(F.col(label).isNotNull(), F.col("_n")))

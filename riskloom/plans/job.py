@@ -12,7 +12,7 @@ import sys
 from riskloom.plans.features import build_features, text_vectors
 from riskloom.plans.scoring import Settings, score_enterprises
 from riskloom.operators.models import save_model
-from riskloom.session import build_session
+from riskloom.session import build_session, clear_staged
 from riskloom.sources.sinks import write_features, write_scores, write_tables
 from riskloom.sources.tables import read_raw, read_staged
 
@@ -41,7 +41,10 @@ STEPS = {"ingest": ingest, "features": features, "score": score}
 
 def main(arguments: list[str]) -> None:
     spark = build_session()
-    STEPS[arguments[0]](spark, *arguments[1:])
+    try:
+        STEPS[arguments[0]](spark, *arguments[1:])
+    finally:
+        clear_staged(spark)
 
 
 if __name__ == "__main__":

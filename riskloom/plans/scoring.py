@@ -12,7 +12,7 @@ from riskloom.operators.joins import attach, membership_flags
 from riskloom.operators.models import (
     MODEL_A_TARGET1, MODEL_A_TARGET2, MODEL_B_TARGET1, MODEL_B_TARGET2, Trees, fit_with_best_rounds, fit_with_patience,
     in_parallel, mean_score, model_input, most_categories, predict)
-from riskloom.operators.sampling import hash_fold, negative_bags, sample_weights
+from riskloom.operators.sampling import negative_bags, sample_weights, stratified_fold
 from riskloom.operators.scoring import (
     FOLD_AUC_GATE, auc_exact, bag_average, base_rules, blend_tables, extended_rules)
 from riskloom.plans.features import KEY
@@ -31,25 +31,35 @@ HEAD_COUNTS = ("ZPSJ_zprs_max", "ZPSJ_zprs_min", "ZPSJ_zprs_mean", "ZPSJ_zprs_st
 QUALIFICATION_GAPS = ("ZZDJBGXX_jzsx_deltaDay", "zzsxcl_deltaDay", "zzjzcl_deltaDay", "zzsxhz_deltaDay", "zzjzhz_deltaDay")
 VECTORS = tuple(f"jyfw_array_{i}_fea" for i in range(10))
 
-
-def _codes(*columns: str, topic: str = "") -> tuple[str, ...]:
-    return tuple(f"{topic}_{c}_encoder" if topic else f"{c}_encoder" for c in columns)
-
-
 # The same for category codes.
-BASE_CODES = _codes("sshydm", "zczbbzmc", "hymldm", "zsszdsf", "fzhyml", "xxtgbmmc", "zl", "sszj", "fzjgmc", "qyjglxmc", "qylxmc")
-TEXT_CODES = _codes("jgdzzs", "jyfw", "sshymc")
-PREFIX_CODES = _codes("jgdzzs_top3", "jgdzzs_top6")
-ID_CODES = _codes("fzrq", "bghzrq", "gszch", "fddbrzjhm", "zzjgdm")
-TAX_CODES = _codes("fddbrzjmc", "shdw", "qy", "shjg", "djzclx", topic="QYSWDJXX")
+BASE_CODES = (
+    "sshydm_encoder", "zczbbzmc_encoder", "hymldm_encoder", "zsszdsf_encoder", "fzhyml_encoder",
+    "xxtgbmmc_encoder", "zl_encoder", "sszj_encoder", "fzjgmc_encoder", "qyjglxmc_encoder", "qylxmc_encoder",
+)
+TEXT_CODES = (
+    "jgdzzs_encoder", "jyfw_encoder", "sshymc_encoder",
+)
+PREFIX_CODES = (
+    "jgdzzs_top3_encoder", "jgdzzs_top6_encoder",
+)
+ID_CODES = (
+    "fzrq_encoder", "bghzrq_encoder", "gszch_encoder", "fddbrzjhm_encoder", "zzjgdm_encoder",
+)
+TAX_CODES = (
+    "QYSWDJXX_fddbrzjmc_encoder", "QYSWDJXX_shdw_encoder", "QYSWDJXX_qy_encoder", "QYSWDJXX_shjg_encoder",
+    "QYSWDJXX_djzclx_encoder",
+)
 TOPIC_CODES = (
-    *_codes("swglm", "gljg", "djzclx", topic="QYFZCHRD"),
-    *_codes("xknr", "xmmc", "splb", "xkjg", "xysyfw", "sjzt2", topic="SGSFRXZXKXX"),
-    *_codes("njnd", "njjgmc", "njsxmc", topic="XKZZNJXX"),
-    *_codes("zzmc", "zyfw", "rdjgqc", "zzzsbh", topic="ZZDJBGXX"),
-    "SGSFRXZXKXX_dfbm",
+    "QYFZCHRD_swglm_encoder", "QYFZCHRD_gljg_encoder", "QYFZCHRD_djzclx_encoder", "SGSFRXZXKXX_xknr_encoder",
+    "SGSFRXZXKXX_xmmc_encoder", "SGSFRXZXKXX_splb_encoder", "SGSFRXZXKXX_xkjg_encoder",
+    "SGSFRXZXKXX_xysyfw_encoder", "SGSFRXZXKXX_sjzt2_encoder", "XKZZNJXX_njnd_encoder",
+    "XKZZNJXX_njjgmc_encoder", "XKZZNJXX_njsxmc_encoder", "ZZDJBGXX_zzmc_encoder", "ZZDJBGXX_zyfw_encoder",
+    "ZZDJBGXX_rdjgqc_encoder", "ZZDJBGXX_zzzsbh_encoder", "SGSFRXZXKXX_dfbm",
+)
+ABNORMAL_CODES = (
+    "QYFZCHRD_zcdz_encoder", "QYFZCHRD_rwbh_encoder", "QYFZCHRD_xxtgbmmc_encoder",
+    "XKZZNJXX_xxtgbmmc_encoder",
 )
-ABNORMAL_CODES = (*_codes("zcdz", "rwbh", "xxtgbmmc", topic="QYFZCHRD"), *_codes("xxtgbmmc", topic="XKZZNJXX"))
 
 _WIDE = (*NUMBERS, *COUNTS, *BASE_CODES, *TOPIC_CODES, *PEOPLE, *DATES, *TEXT_CODES, *TAX_CODES)
 FEATURES_A1 = (*_WIDE, *HEAD_COUNTS, *QUALIFICATION_GAPS)
@@ -58,8 +68,11 @@ FEATURES_B1 = (*NUMBERS, *BASE_CODES, *DATES, *HEAD_COUNTS, *QUALIFICATION_GAPS,
 FEATURES_B2 = (*FEATURES_A2, *PREFIX_CODES)
 
 # Features model B treats as categories.
-CATEGORICAL = (*_codes("zsszdsf", "qyjglxmc", "hymldm", "zczbbzmc", "fzhyml", "qylxmc", "sshydm", "zl", "fzjgmc"),
-               "fzjglx", "fzhydm", "fzjgzt", "fzjgsf", "xzgh")
+CATEGORICAL = (
+    "zsszdsf_encoder", "qyjglxmc_encoder", "hymldm_encoder", "zczbbzmc_encoder", "fzhyml_encoder",
+    "qylxmc_encoder", "sshydm_encoder", "zl_encoder", "fzjgmc_encoder", "fzjglx", "fzhydm", "fzjgzt",
+    "fzjgsf", "xzgh",
+)
 
 
 @dataclass(frozen=True)
@@ -86,8 +99,10 @@ def model_tables(features: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def score_a(train: DataFrame, test: DataFrame, settings: Settings) -> DataFrame:
     """Model A: rounds by cross-validation; target 1 over bags that leave one part out."""
-    bags = stage(negative_bags(train, ["qymc"], "is_shixin", settings.bags, 2018, leave_one_out=True).withColumn(
-        "fold", hash_fold(["qymc"], settings.folds, 1)), "bags-a", partition_by=("bag",))
+    # A row has the same fold in every bag it is in.
+    folded = stratified_fold(train, ["qymc"], "is_shixin", settings.folds, 1)
+    bags = stage(negative_bags(folded, ["qymc"], "is_shixin", settings.bags, 2018, leave_one_out=True), "bags-a",
+                 partition_by=("bag",))
     parts = None
     for bag in range(settings.bags):
         model = fit_with_best_rounds(bags.filter(F.col("bag") == bag), FEATURES_A1, "is_shixin", "fold",
@@ -95,7 +110,7 @@ def score_a(train: DataFrame, test: DataFrame, settings: Settings) -> DataFrame:
         part = predict(model, test, ["qymc"], "p")
         parts = part if parts is None else parts.unionByName(part)
     target1 = bag_average(parts, ["qymc"], "p", "FORTARGET1")
-    folded = train.withColumn("fold", hash_fold(["qymc"], settings.folds, 1))
+    folded = stage(stratified_fold(train, ["qymc"], "is_chufa", settings.folds, 1), "folds-a")
     model = fit_with_best_rounds(folded, FEATURES_A2, "is_chufa", "fold", settings.folds, settings.a2)
     return stage(target1.join(predict(model, test, ["qymc"], "FORTARGET2"), "qymc"), "scores-a")
 
@@ -115,8 +130,8 @@ def _fold_models(train: DataFrame, features: Sequence[str], label: str, folds: i
 
 def score_b(train: DataFrame, test: DataFrame, settings: Settings) -> DataFrame:
     """Model B: folds that validate well count for target 1, all folds for target 2."""
-    bags = stage(negative_bags(train, ["qymc"], "is_shixin", settings.bags, 0).withColumn(
-        "fold", hash_fold(["qymc"], settings.folds, 2018)), "bags-b", partition_by=("bag",))
+    folded = stratified_fold(train, ["qymc"], "is_shixin", settings.folds, 2018)
+    bags = stage(negative_bags(folded, ["qymc"], "is_shixin", settings.bags, 0), "bags-b", partition_by=("bag",))
     parts = None
     for bag in range(settings.bags):
         models = _fold_models(bags.filter(F.col("bag") == bag).drop("bag"), FEATURES_B1, "is_shixin",
@@ -125,7 +140,7 @@ def score_b(train: DataFrame, test: DataFrame, settings: Settings) -> DataFrame:
         part = mean_score(good, test, ["qymc"], "p")
         parts = part if parts is None else parts.unionByName(part)
     target1 = bag_average(parts, ["qymc"], "p", "FORTARGET1")
-    folded = train.withColumn("fold", hash_fold(["qymc"], settings.folds, 2018))
+    folded = stage(stratified_fold(train, ["qymc"], "is_chufa", settings.folds, 2018), "folds-b")
     models = [model for model, _ in _fold_models(folded, FEATURES_B2, "is_chufa", settings.folds, settings.b2)]
     return stage(target1.join(mean_score(models, test, ["qymc"], "FORTARGET2"), "qymc"), "scores-b")
 

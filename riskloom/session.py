@@ -55,9 +55,24 @@ def staging_root(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def application_folder(spark: SparkSession) -> str:
+    """The part of the staging folder that belongs to this application alone."""
+    return os.path.join(staging_root(spark), "riskloom", spark.sparkContext.applicationId)
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the staging folder."""
-    return os.path.join(staging_root(spark), "riskloom", f"{name}-{uuid.uuid4().hex}")
+    """A fresh path below the application's staging folder."""
+    return os.path.join(application_folder(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete what this application has staged, once a job has written its results.
+
+    Frames that still read a staged table cannot be used afterwards.
+    """
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(application_folder(spark))
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:

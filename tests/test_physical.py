@@ -102,3 +102,15 @@ def test_staging_folder_is_the_named_one(spark):
         assert staging_root(spark) == named
     path = stage(spark.range(3), "x").inputFiles()[0]
     assert staging_root(spark).removeprefix("file:") in path
+
+
+def test_staged_tables_go_and_nothing_else(spark, tmp_path):
+    from riskloom.session import application_folder, clear_staged
+
+    kept = tmp_path / "kept"
+    spark.range(3).write.parquet(str(kept))
+    folder = application_folder(spark).removeprefix("file:")
+    stage(spark.range(3), "x")
+    assert os.path.isdir(folder) and spark.sparkContext.applicationId in folder
+    clear_staged(spark)
+    assert not os.path.exists(folder) and os.path.isdir(os.path.dirname(folder)) and spark.read.parquet(str(kept)).count() == 3
