@@ -1,5 +1,7 @@
 """Learned models: their rows are checked, and what they must learn where a rule made the label."""
 
+from dataclasses import replace
+
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
@@ -147,3 +149,15 @@ def tree_rule_importance(spark, sf_dir):
     rows = rule_rows(spark, sf_dir)
     found = feature_importances(tree_pipeline(RULE_FEATURES, "label", RULE).fit(rows), rows, RULE_FEATURES)
     return found.select("feature", F.round("importance", 9).alias("importance"))
+
+
+@query("""
+SELECT * FROM (VALUES ('minInfoGain', '0.0', 1), ('minInfoGain', '1.0', 0), ('minInstancesPerNode', '1', 1),
+                      ('minInstancesPerNode', '1000000000', 0)) AS t (parameter, value, learns)
+""")
+def tree_rule_search(spark, sf_dir):
+    """Of each parameter, the value that forbids all splits must lose in the cross-validation."""
+    rows = rule_rows(spark, sf_dir)
+    found = search_one_at_a_time(rows, tree_pipeline(RULE_FEATURES, "label", replace(RULE, rounds=5)),
+                                 {"minInfoGain": [0.0, 1.0], "minInstancesPerNode": [1, 1_000_000_000]}, "label", "fold", 3)
+    return found.select("parameter", "value", (F.col("metric") < 0.1).cast("int").alias("learns"))

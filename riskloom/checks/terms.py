@@ -8,6 +8,7 @@ from riskloom.checks import query, table
 from riskloom.functions.text import HAN, tokenize, user_tokenizer
 from riskloom.operators.terms import (
     VECTOR_SIZE, document_vectors, fit_word_vectors, term_frequencies, term_indicators, top_terms)
+from riskloom.plans.stacking import term_stacking
 from riskloom.session import spread
 
 # Runs between ASCII characters that are no letter or digit, and CJK punctuation.
@@ -91,6 +92,40 @@ def w2v_text_features(spark, sf_dir):
     texts = documents(spark, sf_dir)
     every = texts.select("text").unionByName(table(spark, sf_dir, "benchmark").select("text")).unionByName(
         table(spark, sf_dir, "conversations").select("text"))
-    model = fit_word_vectors(every, F.col("text"), iterations=1)
+    model = fit_word_vectors(every, F.col("text"))
     names = [f"text_array_{i}_fea" for i in range(VECTOR_SIZE)]
     return document_vectors(texts, model, F.col("text"), names).drop("text")
+
+
+@query(f"""
+WITH t AS (SELECT conv_id, turn, coalesce({RUNS_SQL}, []) AS terms FROM conversations),
+     often AS (SELECT term FROM (SELECT unnest(terms) AS term FROM t) GROUP BY 1 HAVING count(*) > 1),
+     known AS (SELECT DISTINCT conv_id, turn FROM (SELECT conv_id, turn, unnest(terms) AS term FROM t) JOIN often USING (term))
+SELECT conv_id, turn, CAST(known.conv_id IS NULL AS INTEGER) AS is_zero FROM t LEFT JOIN known USING (conv_id, turn)
+""")
+def w2v_zero_vectors(spark, sf_dir):
+    """A text's vector is zero exactly when none of its terms occurs twice in the corpus."""
+    texts = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    names = [f"v{i}" for i in range(VECTOR_SIZE)]
+    vectors = document_vectors(texts, fit_word_vectors(texts, F.col("text")), F.col("text"), names)
+    largest = F.greatest(*[F.abs(name) for name in names])
+    return vectors.select("conv_id", "turn", (largest == 0).cast("int").alias("is_zero"))
+
+
+@query(f"""
+WITH t AS (SELECT conv_id, turn, {RUNS_SQL} AS terms FROM conversations),
+     tenth AS (SELECT term FROM (SELECT unnest(terms) AS term FROM t) GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1 OFFSET 9)
+SELECT CASE WHEN turn % 3 = 0 THEN 'test' ELSE 'train' END AS split, conv_id || '-' || turn AS qymc,
+       CAST(list_contains(t.terms, tenth.term) AS INTEGER) AS predicted
+FROM t, tenth
+""")
+def term_stacking_rule(spark, sf_dir):
+    """Each text once, train rows by a model that did not see them; the label is whether the text has the tenth of ten terms."""
+    texts = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("text").alias("jyfw"))
+    tenth = top_terms(texts, F.col("jyfw"), 10).collect()[9]["term"]  # 10 rows by design
+    rows = texts.select(
+        F.when(F.col("turn") % 3 == 0, "test").otherwise("train").alias("split"),
+        F.concat_ws("-", "conv_id", "turn").alias("qymc"), "jyfw", F.lit(None).cast("string").alias("jgdzzs"),
+        F.array_contains(tokenize(F.col("jyfw")), tenth).cast("double").alias("label"))
+    scored = term_stacking(rows, "label", "score", terms=10)
+    return scored.select("split", "qymc", (F.col("score") > 0.5).cast("int").alias("predicted"))
