@@ -102,16 +102,17 @@ def ip_pseudonym(text: Column, key: Column) -> Column:
 
 
 def phone_pseudonym(text: Column, key: Column) -> Column:
-    """The last ten digits permuted among the numbers whose area code starts with 2 to 9; the rest stays."""
+    """The last ten digits permuted, area codes from 200 and those below among themselves; the rest stays."""
     def permuted(digits: Column) -> Column:
         area = F.substr(F.right(digits, F.lit(10)), F.lit(1), F.lit(3)).cast("int")
         line = F.right(digits, F.lit(7)).cast("bigint")
-        mixed = feistel(area - 200, line, F.lit(800).cast("bigint"), F.lit(10_000_000).cast("bigint"), F.concat(key, F.lit("phone")))
+        first = F.when(area < 200, 0).otherwise(200)
+        areas = F.when(area < 200, 200).otherwise(800).cast("bigint")
+        mixed = feistel(area - first, line, areas, F.lit(10_000_000).cast("bigint"), F.concat(key, F.lit("phone")))
         return _bound(mixed, lambda p: F.concat(F.substr(digits, F.lit(1), F.length(digits) - 10),
-                                                _padded(p["l"] + 200, 3), _padded(p["r"], 7)))
+                                                _padded(p["l"] + first, 3), _padded(p["r"], 7)))
 
-    return _bound(_digits(text), lambda digits: F.when(
-        F.substr(F.right(digits, F.lit(10)), F.lit(1), F.lit(1)) >= "2", refilled(text, permuted(digits))).otherwise(text))
+    return _bound(_digits(text), lambda digits: refilled(text, permuted(digits)))
 
 
 def ssn_pseudonym(text: Column, key: Column) -> Column:

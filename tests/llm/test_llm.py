@@ -205,6 +205,16 @@ def test_pseudonyms(spark):
     assert new[15].split("-") == new[17].strip(";").split(".")[::-1]
 
 
+def test_pseudonyms_of_telephone_numbers_with_any_area_code(spark):
+    areas = ["000", "017", "099", "100", "117", "199", "200", "211", "854", "999"]
+    rows = [(i, f"call +1 ({a}) 555-7713, {a}-555-7713 or {a}.555.7714") for i, a in enumerate(areas)]
+    made = [r["text"] for r in pii.pseudonymise(docs(spark, rows)).sort("doc_id").collect()]
+    found = [re.fullmatch(r"call \+1 \((\d{3})\) (\d{3}-\d{4}), (\d{3})-(\d{3}-\d{4}) or (\d{3}\.\d{3}\.\d{4})", t).groups() for t in made]
+    assert all(f[:2] == f[2:4] and f[0] + f[1] != a + "555-7713" and f[4] != a + ".555.7714" for a, f in zip(areas, found))
+    assert [f[0] < "200" for f in found] == [a < "200" for a in areas]
+    assert len({f[0] + f[1] for f in found} | {f[4] for f in found}) == 2 * len(areas)
+
+
 def test_feistel_is_a_permutation(spark):
     left, right = F.floor(F.col("id") / 11).cast("long"), F.col("id") % 11
     mixed = pii.feistel(left, right, F.lit(7).cast("long"), F.lit(11).cast("long"), F.lit("k"))
