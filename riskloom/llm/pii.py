@@ -17,10 +17,29 @@ KINDS = {
     "date": r"(?<![0-9./-])(?:[0-9]{4}([-/.])[0-9]{2}\1[0-9]{2}|[0-9]{2}([-/.])[0-9]{2}\2[0-9]{4})(?![0-9]|[./-][0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
     "phone": r"(?<![0-9+(])(?:\+?1[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9]|[.-][0-9])",
-    "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
 }
 
 
+def _card_layouts() -> str:
+    """Card numbers as they are written; no layout takes digits of a value of another kind next to it.
+
+    13 to 19 digits without a break; 4-6-5 and 4-6-4; four or more groups of
+    four, since cards and other numbers of four digits may follow each other,
+    with three digits behind (4-4-4-4-3). The separator is one throughout.
+    """
+    four = r"[0-9]{4}(?![0-9]|[./-][0-9]{2}[./-][0-9]{2}(?![0-9]))"
+    three = r"[0-9]{3}(?![0-9]|[.-][0-9]| [0-9]{3}[ .-][0-9]{4}(?![0-9]))"
+    layouts = ["[0-9]{13,19}(?![0-9])"]
+    for between in " -":
+        rest = f"{between}[0-9]{{6}}{between}[0-9]{{4,5}}(?![0-9])"
+        one = four + "(?!-[0-9]{4}-)" if between == " " else four
+        layouts += [f"[0-9]{{4}}{rest}", f"{one}(?:{between}{one}){{3}}(?:{between}{one}(?!{rest}))*+(?:{between}{three})?"]
+    return f"(?<![0-9])(?:{'|'.join(layouts)})"
+
+
+KINDS["card"] = _card_layouts()
+
+
 def feistel(left: Column, right: Column, left_size: Column, right_size: Column, key: Column) -> Column:
     """A keyed permutation of the pairs (0..left_size-1, 0..right_size-1), as a struct ``l, r``.
 
@@ -73,8 +92,16 @@ def _power(exponent: Column) -> Column:
     return F.rpad(F.lit("1"), (exponent + 1).cast("int"), F.lit("0")).cast("bigint")
 
 
+def _is_card(digits: Column) -> Column:
+    return (_luhn_sum(digits) % 10 == 0) & ~digits.rlike("^0+$")
+
+
 def card_pseudonym(text: Column, key: Column) -> Column:
-    """Numbers of 13 to 19 digits with a right check digit: the others permuted, the check digit made anew."""
+    """Numbers of 13 to 19 digits with a right check digit: the others permuted, the check digit made anew.
+
+    Groups of four are read from the left: sixteen digits that are a card, or
+    nineteen at the end, are replaced as one; a group that starts none stays.
+    """
     def permuted(digits: Column) -> Column:
         size = F.length(digits) - 1
         half = F.floor(size / 2).cast("int")
@@ -84,8 +111,29 @@ def card_pseudonym(text: Column, key: Column) -> Column:
                                        lambda body: F.concat(body, F.pmod(
                                            -_luhn_sum(F.concat(body, F.lit("0"))), F.lit(10)).cast("string"))))
 
-    return _bound(_digits(text), lambda digits: F.when(
-        (_luhn_sum(digits) % 10 == 0) & ~digits.rlike("^0+$"), refilled(text, permuted(digits))).otherwise(text))
+    def made(value: Column) -> Column:
+        return _bound(_digits(value), lambda digits: refilled(value, permuted(digits)))
+
+    def part(start: Column, size: int) -> Column:
+        return F.substr(text, start, F.lit(size))
+
+    def card_at(start: Column) -> Column:
+        sixteen, nineteen = part(start, 19), part(start, 23)
+        return F.when((F.length(sixteen) == 19) & _is_card(_digits(sixteen)), sixteen).when(
+            nineteen.rlike("[^0-9][0-9]{3}$") & (F.length(nineteen) == 23) & _is_card(_digits(nineteen)), nineteen).otherwise("")
+
+    def step(done: Column, at: Column) -> Column:
+        start = at * 5 + 1
+        return F.when(start < done["next"], done).otherwise(_bound(card_at(start), lambda card: F.when(
+            card == "", done).otherwise(F.struct(
+                (start + F.length(card)).alias("next"),
+                F.concat(done["out"], F.substr(text, done["next"], start - done["next"]), made(card)).alias("out")))))
+
+    groups = F.sequence(F.lit(0), F.floor((F.length(text) + 1) / 5).cast("int") - 1)
+    in_fours = F.aggregate(groups, F.struct(F.lit(1).alias("next"), F.lit("").alias("out")), step, lambda done: F.concat(
+        done["out"], F.substr(text, done["next"], F.length(text))))
+    alone = F.when(_is_card(_digits(text)), made(text)).otherwise(text)
+    return F.when(text.rlike("^[0-9]{4}[ -][0-9]{4}[ -]"), in_fours).otherwise(alone)
 
 
 def ip_pseudonym(text: Column, key: Column) -> Column:

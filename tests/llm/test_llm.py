@@ -215,6 +215,25 @@ def test_pseudonyms_of_telephone_numbers_with_any_area_code(spark):
     assert len({f[0] + f[1] for f in found} | {f[4] for f in found}) == 2 * len(areas)
 
 
+def test_pseudonyms_of_cards_next_to_other_numbers(spark):
+    card, other, ip = "4785380592391139", "4539578763621486", "190.137.223.204"
+    grouped, dashed, amex = "4785 3805 9239 1139", "4785-3805-9239-1139", "3782 822463 10005"
+    phone, longer = "854-555-8570", "6304 0000 0000 0000 000"
+    cases = [f"{card} 12/27", f"{card} 123.", f"12 {card}", f"{card} {ip}", f"{card} {other}", f"{grouped} 123.", f"{grouped} {ip}",
+             f"2021 {grouped} 1227", f"{grouped} {dashed}", f"{grouped} {phone}", f"{dashed} 2023-02-28", f"{amex} 7", f"{phone} {grouped}",
+             f"{grouped} 2023-02-28", f"{longer}, {card}", "4785 3805 9239 1138", f"{grouped} {grouped}"]
+    stay = {"12/27", "123.", "12", "2021", "1227", "7", "4785 3805 9239 1138"}
+    made = [r["text"] for r in pii.pseudonymise(docs(spark, list(enumerate(cases)))).sort("doc_id").collect()]
+    values = [card, other, ip, grouped, dashed, amex, phone, longer, "2023-02-28"]
+    assert [v for case, new in zip(cases, made) for v in values if v in case and v in new] == []
+    assert all(re.sub(r"\d", "0", a) == re.sub(r"\d", "0", b) for a, b in zip(cases, made) if ip not in a)
+    assert all(w in new.split() for case, new in zip(cases, made) for w in case.split() if w in stay)
+    pseudonym = made[0].split()[0]
+    joined = [re.sub(r"(?<=\d{4})[ -](?=\d{4}(?:\D|$))", "", new) for new in made]
+    assert [pseudonym in new for new in joined] == [any(v in case for v in (card, grouped, dashed)) for case in cases]
+    assert made[15] == cases[15]
+
+
 def test_feistel_is_a_permutation(spark):
     left, right = F.floor(F.col("id") / 11).cast("long"), F.col("id") % 11
     mixed = pii.feistel(left, right, F.lit(7).cast("long"), F.lit(11).cast("long"), F.lit("k"))
