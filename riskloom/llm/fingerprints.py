@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -89,27 +90,28 @@ def fingerprint(text: str, k: int = K, inner: int = INNER, anchors: int = ANCHOR
     return best
 
 
-def likeness(one: Anchors, other: Anchors, anchors: int = ANCHORS, drift: int = K) -> float:
-    """Share of common anchors among the smallest of both, counted at the usual offset.
+def likeness(one: Anchors, other: Anchors, anchors: int = ANCHORS) -> float:
+    """Share of common anchors among the smallest of both, counted along a common order.
 
     The smallest ``anchors`` hashes of the union are a random sample of all
-    anchors of both texts. A common anchor counts if its two places differ by
-    about as much as those of most others, so passages that merely recur
-    elsewhere do not. Two empty texts are alike (1), an empty and another are
-    not (0).
+    anchors of both texts. Common anchors count if they lie on a longest chain
+    of places that ascend in both texts, so insertions and deletions, which
+    move all that follows, cost only what they change, and passages in another
+    order do not all count. Two empty texts are alike (1), an empty and another
+    are not (0).
     """
     if not len(one[0]) or not len(other[0]):
         return float(len(one[0]) == len(other[0]))
     sample = np.union1d(one[0], other[0])[:anchors]
     common, left, right = np.intersect1d(one[0], other[0], assume_unique=True, return_indices=True)
     common_in = common <= sample[-1]
-    moved = (one[1][left] - other[1][right])[common_in]
-    if not len(moved):
-        return 0.0
-    groups, times = np.unique(np.floor_divide(moved, drift), return_counts=True)
-    usual = groups[times.argmax()]
-    near = np.abs(np.floor_divide(moved, drift) - usual) <= 1
-    return float(near.sum() / len(sample))
+    left, right = one[1][left[common_in]], other[1][right[common_in]]
+    # The smallest last place of an ascending chain of each length.
+    ends: list[int] = []
+    for place in right[np.argsort(left)].tolist():
+        at = bisect_left(ends, place)
+        ends[at:at + 1] = [place]
+    return len(ends) / len(sample)
 
 
 def written(found: Anchors) -> str:

@@ -82,6 +82,23 @@ def test_closed_syncmers_by_definition(monkeypatch):
     assert fingerprints.written(fingerprints.fingerprint(text)) == before
 
 
+@pytest.mark.parametrize("words, edits, added", [(300, 3, 10), (2_000, 10, 3), (20_000, 100, 3)])
+def test_likeness_of_near_copies_with_edits_all_over(words, edits, added):
+    draw = np.random.default_rng(words)
+    text = [f"w{i}" for i in draw.integers(0, 1 << 30, words)]
+    copy = list(text)
+    for at in sorted(draw.integers(0, words, edits).tolist(), reverse=True):
+        copy[at:at] = [f"x{i}" for i in draw.integers(0, 1 << 30, added)]
+    one, other = (fingerprints.fingerprint(" ".join(t)) for t in (text, copy))
+    smallest = np.union1d(one[0], other[0])[:fingerprints.ANCHORS]
+    common = np.isin(smallest, one[0]) & np.isin(smallest, other[0])
+    assert fingerprints.likeness(one, other) == fingerprints.likeness(other, one) == common.mean() > 0.7
+    turned = fingerprints.fingerprint(" ".join(text[words // 2:] + text[:words // 2]))
+    assert 0.3 < fingerprints.likeness(one, turned) < 0.8
+    back = one[0], one[1].max() - one[1]
+    assert fingerprints.likeness(one, back) == 1 / len(one[0])
+
+
 def shingles(text):
     words = re.findall(r"[^\W_]+", text.lower())
     return {tuple(words[i:i + 5]) for i in range(len(words) - 4)} if len(words) >= 5 else ({tuple(words)} if words else set())
