@@ -124,14 +124,15 @@ def leaf_buckets(sets: DataFrame, similarity: float, depth: int, recall: float)
 def in_blocks(rows: DataFrame, group: str, blocks: Column) -> DataFrame:
     """Deal the rows of each group into ``blocks`` and add ``_key`` and ``_side`` for every pair of blocks.
 
-    A group of one block has one key. Otherwise each block meets itself and
-    every other block under a key of its own; ``_side`` tells the two apart.
+    Each block meets itself and every other block under a key of its own.
+    ``_side`` is 0 where a block meets itself, else 1 and 2 tell the two apart;
+    one of them may be empty.
     """
     own = F.pmod(F.xxhash64("digest"), F.col("_blocks")).cast("long")
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1))
     return rows.withColumn("_blocks", blocks.cast("long")).withColumn("_own", own).withColumn("_other", other).withColumn(
         "_key", F.concat_ws(":", group, F.least("_own", "_other"), F.greatest("_own", "_other"))).withColumn(
-        "_side", (F.col("_own") > F.col("_other")).cast("int")).drop("_blocks", "_own", "_other")
+        "_side", F.when(F.col("_own") == F.col("_other"), 0).when(F.col("_own") < F.col("_other"), 1).otherwise(2)).drop("_blocks", "_own", "_other")
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
@@ -149,7 +150,7 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
 
 
 def _paired(sides: np.ndarray) -> np.ndarray:
-    """Which pairs count: across the two sides, or all others if there is only one."""
+    """Which pairs count: all others within a block (side 0), else those across the sides 1 and 2."""
     out = sides[:, None] != sides[None, :] if sides.any() else np.ones((len(sides), len(sides)), bool)
     np.fill_diagonal(out, False)
     return out

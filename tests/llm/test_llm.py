@@ -128,6 +128,14 @@ def test_near_duplicates_are_those_of_all_pairs(spark, texts, monkeypatch, small
     assert found == brute_near(chosen)
 
 
+def test_links_are_counted_once_with_more_blocks_than_texts(spark, monkeypatch):
+    monkeypatch.setattr(chosen_path, "HELD", 60)
+    base = " ".join(f"w{i * i}" for i in range(120))
+    near = {i: base.replace(f"w{(7 * i) ** 2}", f"changed{i}", 1) for i in range(1, 13)}
+    found = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in chosen_path.near_duplicates(docs(spark, list(near.items()))).collect()}
+    assert found == brute_near(near)
+
+
 def test_runs_reach_the_recall():
     assert 1 - (1 - 0.374) ** chosen_path.runs_for() >= 0.999
 
