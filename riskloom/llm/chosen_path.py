@@ -30,16 +30,22 @@ SMALL, HELD = 512, 2_000_000
 BROADCAST_ROWS = 500_000
 
 
-def runs_for(recall: float = RECALL, depth: int = DEPTH) -> int:
+def runs_for(recall: float = RECALL, depth: int = DEPTH, similarity: float = SIMILARITY) -> int:
     """Runs that reach the recall, by the survival of a pair at the threshold through ``depth`` levels.
 
-    At each level a pair has one common child in expectation, about Poisson;
-    it survives if any of these does.
+    All runs share the sampled tokens, so the loss is averaged over how many of
+    these agree. At each level a pair has a common child at each agreeing
+    place, if the place is chosen; it survives if any of these does.
     """
-    survives = 1.0
+    agree = np.arange(SAMPLED + 1)
+    weight = np.array([math.comb(SAMPLED, k) * similarity ** k * (1 - similarity) ** (SAMPLED - k) for k in agree])
+    survives = np.ones(SAMPLED + 1)
     for _ in range(depth):
-        survives = 1 - math.exp(-survives)
-    return math.ceil(math.log(1 - recall) / math.log(1 - survives))
+        survives = 1 - (1 - survives / (similarity * SAMPLED)) ** agree
+    runs = 1
+    while weight @ (1 - survives) ** runs > 1 - recall:
+        runs += 1
+    return runs
 
 
 def children(nodes: np.ndarray, tokens: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
@@ -105,7 +111,7 @@ def leaf_buckets(sets: DataFrame, similarity: float, depth: int, recall: float)
     below the last level are sets that cannot be told apart by their tokens;
     they are leaves as well, to be compared in blocks. All runs go down at once.
     """
-    runs = runs_for(recall, depth)
+    runs = runs_for(recall, depth, similarity)
     level, leaves = sets.select("digest", "tokens"), None
     for down in range(1, depth + 1):
         rows = level.mapInArrow(lambda batches: _go_on(batches, similarity, runs), "node long, digest binary")

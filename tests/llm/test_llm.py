@@ -140,6 +140,31 @@ def test_runs_reach_the_recall():
     assert 1 - (1 - 0.374) ** chosen_path.runs_for() >= 0.999
 
 
+def test_runs_reach_the_recall_with_shared_samples():
+    """Pairs whose sampled tokens agree at random, followed through all levels by the hashes of the join."""
+    pairs, draw = 20_000, np.random.default_rng(1)
+    one = draw.integers(0, 1 << 32, (pairs, chosen_path.SAMPLED), np.uint32)
+    other = np.where(draw.random(one.shape) < chosen_path.SIMILARITY, one, one + np.uint32(1))
+    met = np.zeros(pairs, bool)
+    for run in range(1, chosen_path.runs_for() + 1):
+        # One root for each pair: different pairs stand for different places in the tree.
+        nodes, of = fingerprints.mix(np.arange(pairs, dtype=np.uint64) * np.uint64(1 << 20) + np.uint64(run)), np.arange(pairs)
+        for _ in range(chosen_path.DEPTH):
+            rows, below = chosen_path.children(nodes, one[of], chosen_path.SIMILARITY)
+            rows_2, below_2 = chosen_path.children(nodes, other[of], chosen_path.SIMILARITY)
+            same = (rows == rows_2) & (below == below_2)
+            nodes, of = below[same], of[rows[same]]
+        met[of] = True
+    print("recall", met.mean())
+    assert met.mean() >= chosen_path.RECALL - 3 * (chosen_path.RECALL * (1 - chosen_path.RECALL) / pairs) ** 0.5
+    agree = np.arange(65)
+    survives = np.ones(65)
+    for _ in range(chosen_path.DEPTH):
+        survives = 1 - (1 - survives / (0.8 * 64)) ** agree
+    lost = [(1 - survives[(one == other).sum(axis=1)]) ** chosen_path.runs_for()]
+    assert np.mean(lost) <= 1 - chosen_path.RECALL
+
+
 def test_components(spark):
     chain = [(f"{i:03}", f"{i + 1:03}") for i in range(20)] + [("x", "y"), ("z", "y"), ("q", "q")]
     found = dict(components.components(spark.createDataFrame(chain, "a string, b string")).collect())
