@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -62,25 +63,26 @@ def children(nodes: np.ndarray, tokens: np.ndarray, similarity: float) -> tuple[
 
 
 def described(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """``doc_id, digest, size, tokens, brief`` of every row; rows without words have size 0.
+    """``doc_id, mark, digest, size, tokens, brief`` of every row; rows without words have size 0.
 
-    ``digest`` stands for the sequence of words, ``size`` counts distinct
+    ``mark`` (MD5) stands for the text itself, ``digest`` for the sequence of words, ``size`` counts distinct
     shingles, ``tokens`` are the sampled ones, ``brief`` a byte of each.
     """
 
     def rows(ids: list, texts: list) -> dict[str, list]:
-        out: dict[str, list] = {"doc_id": ids, "digest": [], "size": [], "tokens": [], "brief": []}
+        out: dict[str, list] = {"doc_id": ids, "mark": [], "digest": [], "size": [], "tokens": [], "brief": []}
         for text in texts:
             found = word_hashes(text)
             shingles = shingle_hashes(found, words)
             sample = sampled_tokens(shingles, SAMPLED)
+            out["mark"].append(hashlib.md5(text.encode()).digest())
             out["digest"].append(sequence_digest(found))
             out["size"].append(len(shingles))
             out["tokens"].append(sample.tobytes())
             out["brief"].append((sample & np.uint32(255)).astype(np.uint8).tobytes())
         return out
 
-    return arrow_map(docs, f"doc_id {dict(docs.dtypes)['doc_id']}, digest binary, size long, tokens binary, brief binary", rows)
+    return arrow_map(docs, f"doc_id {dict(docs.dtypes)['doc_id']}, mark binary, digest binary, size long, tokens binary, brief binary", rows)
 
 
 def _matrix(column: pa.Array, kind: str) -> np.ndarray:
@@ -255,7 +257,13 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, words: int
     then compared exactly, each pair once, on whole shingle sets. Nothing is
     capped: what is too large for one task is compared in pairs of blocks.
     """
-    texts = id_and_text(docs, id_col, text_col)
+    return _classified(id_and_text(docs, id_col, text_col), similarity, words, depth, recall).select(
+        "doc_id", "class_id", "n_links", "class_size")
+
+
+def _classified(texts: DataFrame, similarity: float = SIMILARITY, words: int = WORDS, depth: int = DEPTH,
+                recall: float = RECALL) -> DataFrame:
+    """The rows of ``near_duplicates`` with ``mark`` of their text and ``root``, which names the class without an id."""
     rows = stage(described(texts, words), "described")
     sets = stage(rows.filter("size > 0").groupBy("digest").agg(
         F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"),
@@ -286,10 +294,10 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, words: int
         .withColumn("root", F.coalesce("root", "digest"))
     ids = rooted.groupBy("root").agg(F.min("first_id").alias("class_id"), F.sum("copies").alias("class_size"))
     labelled = rooted.join(ids, "root").select(
-        "digest", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "class_size")
-    named = rows.filter("size > 0").select("doc_id", "digest").join(labelled, "digest") \
-        .select("doc_id", "class_id", "n_links", "class_size")
-    alone = rows.filter("size = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
+        "digest", "root", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "class_size")
+    named = rows.filter("size > 0").select("doc_id", "mark", "digest").join(labelled, "digest") \
+        .select("doc_id", "mark", "root", "class_id", "n_links", "class_size")
+    alone = rows.filter("size = 0").select("doc_id", "mark", F.lit(None).cast("binary").alias("root"), F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
                                            F.lit(1).cast("long").alias("class_size"))
     return named.unionByName(alone)
 
@@ -320,10 +328,17 @@ def _with_shingles(texts: DataFrame, wanted: DataFrame, words: int) -> DataFrame
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
-    """The rows of ``docs`` whose id is their class's, with all their columns.
+    """One row of ``docs`` for each class, with all its columns: that of the smallest id.
 
-    Rows without an id are all kept, as they cannot be told apart.
+    Rows are told apart by id and text, so another text with a dropped id stays
+    and rows without an id (they come last) are dropped too. Only repeats of
+    the chosen row, equal in id and text, stay with it.
     """
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **settings)
-    dropped = found.filter(F.col("doc_id") != F.col("class_id")).select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, F.col(id_col) == F.col("_dropped"), "left_anti")
+    found = stage(_classified(id_and_text(docs, id_col, text_col), **settings).filter("class_size > 1")
+                  .select("root", "doc_id", "mark").distinct(), "near-classes")
+    kept = found.groupBy("root").agg(F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "mark")).alias("kept"))
+    dropped = found.join(kept, "root") \
+        .filter(~(F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("mark") == F.col("kept.mark")))) \
+        .select(F.col("doc_id").alias("_dropped"), F.col("mark").alias("_mark"))
+    mark = F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
+    return docs.join(dropped, F.col(id_col).eqNullSafe(F.col("_dropped")) & (mark == F.col("_mark")), "left_anti")

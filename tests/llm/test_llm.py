@@ -128,6 +128,17 @@ def test_near_duplicates_are_those_of_all_pairs(spark, texts, monkeypatch, small
     assert found == brute_near(chosen)
 
 
+def test_one_of_each_class_stays_whatever_the_ids(spark):
+    texts = {c: " ".join(f"{c}{i * i}" for i in range(120)) for c in "abcd"}
+    near = {c: t + " end" for c, t in texts.items()}
+    rows = [(5, texts["a"]), (5, texts["b"]), (3, near["b"]), (None, texts["c"]), (None, near["c"]), (None, texts["c"] + "!"),
+            (7, texts["d"]), (7, near["d"]), (None, texts["d"]), (8, None), (None, "")]
+    left = [tuple(r) for r in chosen_path.keep_one_of_each(docs(spark, rows)).collect()]
+    assert set(left) <= set(rows) and len(left) == 6
+    assert {(5, texts["a"]), (3, near["b"]), (8, None), (None, "")} <= set(left)
+    assert sorted((i or 0, t[0]) for i, t in left if t and t[0] in "cd") == [(0, "c"), (7, "d")]
+
+
 def test_links_are_counted_once_with_more_blocks_than_texts(spark, monkeypatch):
     monkeypatch.setattr(chosen_path, "HELD", 60)
     base = " ".join(f"w{i * i}" for i in range(120))
