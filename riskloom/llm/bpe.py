@@ -146,8 +146,17 @@ class WordBpe:
 
     def _split(self, text: str) -> list[str]:
         """Normalised words of the text; a special string is a word of its own."""
-        if self.special is not None and (match := self.special.search(text)):
-            return [*self._split(text[:match.start()]), match.group(), *self._split(text[match.end():])]
+        if self.special is None:
+            return self._ordinary(text)
+        out, at = [], 0
+        for match in self.special.finditer(text):
+            out += self._ordinary(text[at:match.start()])
+            out.append(match.group())
+            at = match.end()
+        return out + self._ordinary(text[at:])
+
+    def _ordinary(self, text: str) -> list[str]:
+        """Normalised words of a text without special strings."""
         if text.isascii():
             return _ASCII_WORD.findall(text.lower())
         plain = unicodedata.normalize("NFC", text)

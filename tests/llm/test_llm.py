@@ -218,6 +218,13 @@ def test_bpe_is_the_librarys(texts, monkeypatch):
     assert packing.encode_texts(chosen, WORDS) == found
 
 
+def test_bpe_takes_many_special_strings():
+    encoder, times = bpe.WordBpe(WORDS), 3000
+    special = [encoder.added["<|endoftext|>"], encoder.added["<|startoftext|>"]]
+    found = np.frombuffer(encoder.encode(["a<|endoftext|><|startoftext|> " * times])[0], "<u4").tolist()
+    assert found == [*np.frombuffer(encoder.encode(["a"])[0], "<u4").tolist(), *special] * times
+
+
 def test_packing(whole, texts):
     rows = packing.pack_documents(whole, WORDS).collect()
     library = token_counts.load_tokenizer(WORDS)
