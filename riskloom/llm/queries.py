@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import (
-    bpe, chosen_path, exact_dedup, fingerprints, language, line_dedup, packing, pii, token_counts, urls)
+    bpe, chosen_path, clusters, exact_dedup, fingerprints, language, line_dedup, packing, pii, token_counts, urls)
 from riskloom.session import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +119,41 @@ def op10_language_id(spark, sf_dir):
     model = language.fit_language_model(docs)
     found = language.predict_language(texts(spark, sf_dir), model)
     return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def _clusters_sql(rounds: int = clusters.ROUNDS) -> str:
+    """All rounds as tables of one query: ``c0`` and ``a0``, then one more of each for every round."""
+    assign = """
+a{i} AS (
+    SELECT r, cluster, d AS distance FROM (
+        SELECT r, cluster, sum((v.x - c.x) * (v.x - c.x))::BIGINT AS d FROM parts v JOIN c{i} c USING (place) GROUP BY r, cluster)
+    QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, cluster) = 1)"""
+    update = """,
+c{n} AS (
+    SELECT c.cluster, c.place, coalesce((m.s - ((m.s % m.n) + m.n) % m.n) // m.n, c.x) AS x
+    FROM c{i} c LEFT JOIN (
+        SELECT cluster, place, sum(x)::BIGINT AS s, count(*) AS n FROM parts JOIN a{i} USING (r) GROUP BY cluster, place) m
+    USING (cluster, place)),"""
+    steps = "".join(assign.format(i=i) + update.format(i=i, n=i + 1) for i in range(rounds)) + assign.format(i=rounds)
+    return f"""
+WITH listed AS (
+    SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, embedding FROM embeddings WHERE len(embedding) = {clusters.SIZE}),
+cells AS (SELECT r, vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS place FROM listed),
+parts AS (
+    SELECT r, vec_id, place, floor({clusters.SCALE} * x)::BIGINT AS x FROM cells
+    QUALIFY bool_and(x IS NOT NULL AND isfinite(x)) OVER (PARTITION BY r)),
+starts AS (
+    SELECT r, row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS cluster FROM (SELECT DISTINCT r, vec_id FROM parts)
+    QUALIFY cluster < {clusters.CLUSTERS}),
+c0 AS (SELECT cluster, place, x FROM parts JOIN starts USING (r)),{steps},
+named AS (SELECT cluster, sha256(string_agg(x, ',' ORDER BY place)) AS centroid_sha256 FROM c{rounds} GROUP BY cluster)
+SELECT vec_id, cluster::INTEGER AS cluster, distance, sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia,
+       sum(distance) OVER ()::BIGINT AS inertia, centroid_sha256
+FROM a{rounds} JOIN listed USING (r) JOIN named USING (cluster)
+"""
+
+
+@query(_clusters_sql())
+def op13_centroid_clustering(spark, sf_dir):
+    assigned, centroids = clusters.cluster_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return clusters.with_inertia(assigned, centroids)
