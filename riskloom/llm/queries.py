@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import (
-    bpe, chosen_path, clusters, exact_dedup, fingerprints, language, line_dedup, packing, pii, token_counts, urls)
+    bpe, chosen_path, clusters, exact_dedup, fingerprints, language, line_dedup, merkle, mixing,
+    packing, pii, token_counts, urls)
 from riskloom.session import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -157,3 +158,87 @@ FROM a{rounds} JOIN listed USING (r) JOIN named USING (cluster)
 def op13_centroid_clustering(spark, sf_dir):
     assigned, centroids = clusters.cluster_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
     return clusters.with_inertia(assigned, centroids)
+
+
+def _merkle_sql() -> str:
+    """Trees level by level, then every leaf folded along its siblings."""
+    def field(column: str) -> str:
+        return f"CASE WHEN {column} IS NULL THEN '-' ELSE strlen({column}::VARCHAR)::VARCHAR || ':' || {column}::VARCHAR END"
+
+    def digest(n_chars: str) -> str:
+        return f"sha256({' || '.join(field(n_chars if c == 'n_chars' else c) for c in merkle.RECORD)})"
+
+    crc = """list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+        lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], range(8)),
+        lambda x, turn: xor(x >> 1, 3988292384::BIGINT * (x & 1))))"""
+
+    def levels(name: str, leaves: str) -> str:
+        return f"""
+{name} AS (
+    SELECT tree, 0 AS lvl, i, h, count(*) OVER (PARTITION BY tree) AS n FROM {leaves}
+    UNION ALL
+    SELECT tree, lvl + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (n + 1) // 2 FROM {name} WHERE n > 1
+    GROUP BY tree, lvl, i // 2, n)"""
+
+    def folds(name: str, start: str, nodes: str) -> str:
+        return f"""
+{name} AS (
+    SELECT r, tree, i, 0 AS lvl, h, siblings, (SELECT max(lvl) FROM {nodes} z WHERE z.tree = s.tree) AS height FROM {start} s
+    UNION ALL
+    SELECT r, f.tree, f.i // 2, f.lvl + 1,
+           sha256(CASE WHEN o.h IS NULL THEN f.h WHEN f.i % 2 = 1 THEN o.h || f.h ELSE f.h || o.h END),
+           siblings || coalesce(o.h, ''), height
+    FROM {name} f LEFT JOIN {nodes} o ON o.tree = f.tree AND o.lvl = f.lvl AND o.i = xor(f.i, 1)
+    WHERE f.lvl < height)"""
+
+    return f"""
+WITH RECURSIVE records AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce('1' || lang, '') AS tree, {digest('n_chars')} AS h,
+           CASE WHEN xor({crc}, 4294967295) % 7 = 0 THEN {digest('(n_chars + 1)')} END AS other, n_chars
+    FROM documents),
+leaves AS (
+    SELECT r, doc_id, tree, h, CASE WHEN n_chars IS NULL THEN h ELSE coalesce(other, h) END AS claimed,
+           row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS i
+    FROM records),{levels('nodes', 'leaves')},
+subroots AS (SELECT tree AS name, 'top' AS tree, h, row_number() OVER (ORDER BY tree) - 1 AS i FROM nodes WHERE n = 1),
+{levels('tops', 'subroots')},
+starts AS (SELECT r, tree, i, claimed AS h, '' AS siblings FROM leaves),{folds('inner_folds', 'starts', 'nodes')},
+middles AS (
+    SELECT r, s.tree, s.i, f.h, siblings FROM inner_folds f JOIN subroots s ON s.name = f.tree WHERE f.lvl = height),
+{folds('outer_folds', 'middles', 'tops')}
+SELECT doc_id, l.h AS leaf, s.h AS subroot, t.h AS root, sha256(siblings) AS proof_sha256, f.h AS folded_root, f.h = t.h AS verified
+FROM leaves l JOIN outer_folds f USING (r) JOIN subroots s ON s.name = l.tree JOIN tops t ON t.n = 1
+WHERE f.lvl = height
+"""
+
+
+@query(_merkle_sql())
+def op12_merkle_manifest(spark, sf_dir):
+    return merkle.document_proofs(documents(spark, sf_dir).select(*merkle.RECORD))
+
+
+@query(f"""
+WITH sized AS (
+    SELECT row_number() OVER () AS r, doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
+           md5(concat_ws(':', '{mixing.SEED}', coalesce(doc_id::VARCHAR, ''), md5(coalesce(text, '')))) AS place
+    FROM documents),
+sources AS (
+    SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM sized GROUP BY source),
+weighed AS (SELECT *, [3.0::DOUBLE, 1, 2][rank % 3 + 1] AS weight, 2 * source_size AS most FROM sources),
+shared AS (
+    SELECT *, ({mixing.SHARE}::DOUBLE * sum(source_size) OVER () - coalesce(sum(most) OVER before, 0))
+              / sum(weight) OVER (ORDER BY most / weight DESC, rank DESC) AS each
+    FROM weighed WINDOW before AS (ORDER BY most / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+chosen AS (SELECT each FROM shared QUALIFY row_number() OVER (ORDER BY weight * each >= most, most / weight, rank) = 1),
+targets AS (SELECT source, source_size, least(most::DOUBLE, weight * (SELECT each FROM chosen)) AS target, most FROM shared),
+placed AS (
+    SELECT r, coalesce(sum(size) OVER (PARTITION BY source ORDER BY place, r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+    FROM sized),
+filled AS (SELECT *, least(most, floor(target + 0.5)::BIGINT) AS quota FROM targets)
+SELECT doc_id, size::BIGINT AS size, source_size, target,
+       (greatest(0, least(size, quota - start)) + greatest(0, least(size, quota - source_size - start)))::BIGINT AS taken
+FROM sized JOIN placed USING (r) JOIN filled ON filled.source IS NOT DISTINCT FROM sized.source
+""")
+def op11_source_mix(spark, sf_dir):
+    rows, _ = mixing.mix_sources(documents(spark, sf_dir))
+    return rows.select("doc_id", "size", "source_size", "target", "taken")

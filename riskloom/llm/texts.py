@@ -83,3 +83,24 @@ def arrow_map(docs: DataFrame, schema: str, rows: Callable[[list, list], dict[st
                     [pa.array(columns[field.name], type=field.type) for field in target], schema=target)
 
     return docs.mapInArrow(run, schema)
+
+
+def consecutive(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """The rows with the same first ``keys`` columns, which arrive next to each other, group by group."""
+    held: list[pa.RecordBatch] = []
+    key = None
+    for batch in batches:
+        found = list(zip(*(batch.column(i).to_pylist() for i in range(keys))))
+        start = 0
+        while start < len(found):
+            stop = start + 1
+            while stop < len(found) and found[stop] == found[start]:
+                stop += 1
+            if held and found[start] != key:
+                yield pa.Table.from_batches(held)
+                held = []
+            key = found[start]
+            held.append(batch.slice(start, stop - start))
+            start = stop
+    if held:
+        yield pa.Table.from_batches(held)
