@@ -117,12 +117,12 @@ def coefficient_rows(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         .mapInArrow(run, f"vec_id {kind}, coefficients binary")
 
 
-def first_centroids(rows: DataFrame, clusters: int, seed: int) -> np.ndarray:
+def first_centroids(rows: DataFrame, clusters: int, seed: int, size: int) -> np.ndarray:
     """The rows of smallest hash of seed and id, in order; rows without an id come last, equal ids by their vector."""
     drawn = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("vec_id").cast("string")).cast("binary"), 256)
     chosen = rows.select(drawn.alias("drawn"), "coefficients").orderBy(F.col("drawn").asc_nulls_last(), "coefficients") \
         .limit(clusters).collect()
-    return np.array([np.frombuffer(r["coefficients"], "<i4") for r in chosen], np.int64).reshape(len(chosen), -1)
+    return np.array([np.frombuffer(r["coefficients"], "<i4") for r in chosen], np.int64).reshape(len(chosen), size)
 
 
 def updated_centroids(rows: DataFrame, centroids: np.ndarray) -> np.ndarray:
@@ -177,7 +177,7 @@ def cluster_vectors(vectors: DataFrame, clusters: int = CLUSTERS, rounds: int =
     """
     rows = stage(coefficient_rows(spread(vectors.select(id_col, vector_col), id_col), id_col, vector_col, size, scale),
                  "coefficients")
-    centroids = first_centroids(rows, clusters, seed)
+    centroids = first_centroids(rows, clusters, seed, size)
     kind = dict(rows.dtypes)["vec_id"]
     schema = f"vec_id {kind}, cluster int, distance long"
     if not len(centroids):
