@@ -13,6 +13,7 @@ import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
+from riskloom.llm.merges import Merges
 from riskloom.llm.texts import Memo, arrow_map, by_size, id_and_text, segments
 
 #: Characters that are worked on together.
@@ -20,9 +21,6 @@ BATCH_CHARS = 1 << 20
 #: Distinct words and token pairs a worker remembers.
 MEMO_WORDS, MEMO_PAIRS = 500_000, 500_000
 
-#: The rank of two tokens that no merge joins.
-NEVER = 1 << 30
-
 # The fixed pattern of the vocabulary's pre-tokenizer with white space spelled
 # out, and the same for text in plain lower-case ASCII.
 _WORD = regex.compile(
@@ -30,6 +28,8 @@ _WORD = regex.compile(
     "|[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\\p{L}\\p{N}]+")
 _ASCII_WORD = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
 
+_WORD_OR_BREAK, _ASCII_WORD_OR_BREAK = regex.compile("\n|" + _WORD.pattern), re.compile("\n|" + _ASCII_WORD.pattern)
+
 
 def byte_characters() -> list[str]:
     """The printable character that stands for each byte: itself, or the next one from 256 on."""
@@ -51,39 +51,51 @@ class WordBpe:
         self.added = {t["content"]: t["id"] for t in described["added_tokens"]}
         self.names = {i: name for name, i in {**self.ids, **self.added}.items()}
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        self.merged = [self.ids[left + right] for left, right in pairs]
-        self.ranks = {(self.ids[left], self.ids[right]): rank for rank, (left, right) in enumerate(pairs)}
+        self.merges = Merges([(self.ids[left], self.ids[right]) for left, right in pairs],
+                             [self.ids[left + right] for left, right in pairs])
         self.longest = max(len(name.removesuffix(self.end)) for name in self.ids)
         self.bytes = byte_characters()
+        # The id of each byte within a word and at its end, -1 where the vocabulary has none.
+        self.inner, self.final = (np.array([self.ids.get(c + end, -1) for c in self.bytes], np.int32) for end in ("", self.end))
         self.special = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True)))) \
             if self.added else None
-        self.words, self.pairs, self.alone = Memo(MEMO_WORDS), Memo(MEMO_PAIRS), Memo(len(self.names))
+        self.words, self.pairs, self.alone = Memo(MEMO_WORDS), Memo(MEMO_PAIRS), Memo(2 * len(self.names))
 
     # The exact algorithm.
 
-    def characters(self, word: str) -> list[int]:
-        symbols = [*word[:-1], word[-1] + self.end]
-        return [self.ids[s] for s in symbols if s in self.ids]
-
-    def merge(self, tokens: list[int]) -> list[int]:
-        """Apply the lowest-ranked merge, leftmost first, until none is left."""
-        tokens, rank = list(tokens), self.ranks.get
-        ranks = [rank(pair, NEVER) for pair in zip(tokens, tokens[1:])]
-        while ranks and (best := min(ranks)) != NEVER:
-            at = ranks.index(best)
-            tokens[at:at + 2] = [self.merged[best]]
-            del ranks[at]
-            if at:
-                ranks[at - 1] = rank((tokens[at - 1], tokens[at]), NEVER)
-            if at < len(ranks):
-                ranks[at] = rank((tokens[at], tokens[at + 1]), NEVER)
-        return tokens
+    def characters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the bytes of all words, one word after another, and how many each word has."""
+        whole = "".join(words)
+        sizes = map(len, words) if whole.isascii() else (len(w.encode()) for w in words)
+        lengths = np.fromiter(sizes, np.int64, len(words))
+        found = np.frombuffer(whole.encode(), np.uint8)
+        ends = np.cumsum(lengths)[lengths > 0] - 1
+        symbols = self.inner[found]
+        symbols[ends] = self.final[found[ends]]
+        known = symbols >= 0
+        if not known.all():
+            counts = np.concatenate([[0], np.cumsum(known)])
+            lengths = counts[np.cumsum(lengths)] - counts[np.cumsum(lengths) - lengths]
+            symbols = symbols[known]
+        return symbols, lengths
+
+    def merged(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of all words by exact merging, one word after another, and how many each word has."""
+        return self.merges.merge_all(*self.characters(words))
 
     def spelled(self, token: int) -> list[int]:
         """The single characters of a token, as ids."""
         name = self.names[token]
-        return self.characters(name[:-len(self.end)]) if name.endswith(self.end) and name != self.end \
-            else [self.ids[c] for c in name]
+        at_end = name.endswith(self.end) and name != self.end
+        name = name[:-len(self.end)] if at_end else name
+        return [self.ids[c] for c in name[:-1]] + [self.ids[name[-1] + (self.end if at_end else "")]]
+
+    def _merge_back(self, spellings: list[list[int]], tokens: list[list[int]]) -> list[bool]:
+        """Whether each spelling, merged, gives the tokens it was made from."""
+        sizes = np.fromiter(map(len, spellings), np.int64, len(spellings))
+        found, lengths = self.merges.merge_all(np.fromiter(chain.from_iterable(spellings), np.int64, int(sizes.sum())), sizes)
+        ends = np.cumsum(lengths).tolist()
+        return [found[end - n:end].tolist() == own for end, n, own in zip(ends, lengths.tolist(), tokens)]
 
     # Speculation and its check.
 
@@ -110,11 +122,12 @@ class WordBpe:
 
     def _pairs_hold(self, keys: list[int]) -> list[bool]:
         """Whether two tokens next to each other, spelled out and merged, give the same two tokens."""
-        out = []
-        for key in keys:
-            left, right = divmod(key, 1 << 20)
-            out.append(self.merge(self.spelled(left) + self.spelled(right)) == [left, right])
-        return out
+        pairs = [list(divmod(key, 1 << 20)) for key in keys]
+        return self._merge_back([self.spelled(left) + self.spelled(right) for left, right in pairs], pairs)
+
+    def _token_holds(self, tokens: list[int]) -> list[bool]:
+        """Whether a token, spelled out and merged, gives itself."""
+        return self._merge_back([self.spelled(t) for t in tokens], [[t] for t in tokens])
 
     def _encode_words(self, words: list[str]) -> list[bytes]:
         """Propose for all words, test all adjacent pairs at once, merge the failing words exactly.
@@ -136,33 +149,42 @@ class WordBpe:
         fails[owner[1:][inside][~holds[place]]] = True
         single = np.flatnonzero(lengths == 1)
         tokens = [proposed[i][0] for i in single]
-        self.alone.fill(set(tokens), lambda unknown: [self.merge(self.spelled(t)) == [t] for t in unknown])
+        self.alone.fill(set(tokens), self._token_holds)
         fails[single[[not self.alone[t] for t in tokens]]] = True
         packed, ends = flat.astype("<u4").tobytes(), (np.cumsum(lengths) * 4).tolist()
         out = [packed[start:end] for start, end in zip([0, *ends], ends)]
-        for at in np.flatnonzero(fails).tolist():
-            out[at] = np.array(self.merge(self.characters(spelled[at])), "<u4").tobytes()
+        failing = np.flatnonzero(fails).tolist()
+        exact, sizes = self.merged([words[at] for at in failing])
+        packed, ends = exact.astype("<u4").tobytes(), (np.cumsum(sizes) * 4).tolist()
+        for at, start, end in zip(failing, [0, *ends], ends):
+            out[at] = packed[start:end]
         return out
 
-    def _split(self, text: str) -> list[str]:
+    def split(self, text: str) -> list[str]:
         """Normalised words of the text; a special string is a word of its own."""
         if self.special is None:
-            return self._ordinary(text)
+            return self.ordinary(text)
         out, at = [], 0
         for match in self.special.finditer(text):
-            out += self._ordinary(text[at:match.start()])
+            out += self.ordinary(text[at:match.start()])
             out.append(match.group())
             at = match.end()
-        return out + self._ordinary(text[at:])
+        return out + self.ordinary(text[at:])
 
-    def _ordinary(self, text: str) -> list[str]:
-        """Normalised words of a text without special strings."""
+    def ordinary(self, text: str, breaks: bool = False) -> list[str]:
+        """Normalised words of a text without special strings; with ``breaks`` its line breaks too."""
         if text.isascii():
-            return _ASCII_WORD.findall(text.lower())
+            return (_ASCII_WORD_OR_BREAK if breaks else _ASCII_WORD).findall(text.lower())
         plain = unicodedata.normalize("NFC", text)
         # In the vocabulary's normalizer no letter depends on its neighbours; in Python only this one does.
         plain = plain.lower() if "\u03a3" not in plain else "".join(map(str.lower, plain))
-        return _WORD.findall(plain)
+        return (_WORD_OR_BREAK if breaks else _WORD).findall(plain)
+
+    def split_all(self, pieces: list[str]) -> tuple[list[str], np.ndarray]:
+        """The words of all pieces, which hold neither white space nor special strings, and how many each piece has."""
+        found = self.ordinary("\n".join(pieces), True)
+        breaks = np.array([-1, *[at for at, word in enumerate(found) if word == "\n"], len(found)])
+        return [word for word in found if word != "\n"], np.diff(breaks)[:len(pieces)] - 1
 
     def _encode_unknown(self, words: list[str]) -> list[bytes]:
         ordinary = [w for w in words if w not in self.added]
@@ -175,7 +197,7 @@ class WordBpe:
         parts = [(at, part) for at, text in enumerate(texts) for part in segments(text, BATCH_CHARS)]
         done = 0
         for group in by_size([part for _, part in parts], BATCH_CHARS):
-            cut = [self._split(part) for part in group]
+            cut = [self.split(part) for part in group]
             self.words.fill(set().union(*cut), self._encode_unknown)
             for (at, _), found in zip(parts[done:], cut):
                 out[at].append(b"".join(map(self.words.__getitem__, found)))

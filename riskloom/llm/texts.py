@@ -6,12 +6,28 @@ import re
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once per row: a one-element array stands for a local name.
+
+    A value that a lambda names is computed anew for each element unless it is bound like this.
+    """
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def fresh(name: str, taken: Iterable[str]) -> str:
+    """``name``, with underscores behind it until no column in ``taken`` has it (in any case of letters)."""
+    names = {t.lower() for t in taken}
+    while name.lower() in names:
+        name += "_"
+    return name
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, text)`` and nothing else, a null text as the empty one.
 
@@ -53,19 +69,27 @@ def by_size(texts: list[str], limit: int) -> Iterator[list[str]]:
 
 
 class Memo(dict):
-    """Values by key that a worker remembers: ``limit`` of them, or those of the last call if these are more."""
+    """Values by key that a worker remembers: about ``limit`` of them, or those of the last call if these are more.
+
+    There are two generations. Once the younger one holds half the limit it
+    becomes the older one, which is forgotten but for the keys that are asked for again.
+    """
 
     def __init__(self, limit: int):
         super().__init__()
         self.limit = limit
+        self.older: dict = {}
 
     def fill(self, keys: set, compute: Callable[[list], Iterable]) -> None:
-        """Make every one of ``keys`` known; when the memo is full, forget all others first."""
-        unknown = list(keys.difference(self))
-        if len(self) + len(unknown) > self.limit:
-            known = {key: self[key] for key in keys if key in self}
+        """Make every one of ``keys`` known."""
+        unknown = keys.difference(self)
+        if len(self) + len(unknown) > self.limit // 2:
+            self.older = dict(self)
             self.clear()
-            self.update(known)
+            unknown = keys
+        again = unknown.intersection(self.older)
+        self.update((key, self.older[key]) for key in again)
+        unknown = list(unknown - again)
         self.update(zip(unknown, compute(unknown)))
 
 
