@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.llm.texts import bound
+
 #: Feistel rounds. Each changes one half by a keyed function of the other.
 ROUNDS = 10
-DEFAULT_KEY = "riskloom"
+#: The session setting that holds the key. There is no key in the source: whoever knows it can undo the pseudonyms.
+KEY_SETTING = "spark.riskloom.pseudonyms.key"
 
 # What may be personal data. Alternatives are tried in this order at each place.
-# Borders are fixed: no letter, digit or sign that would make it part of more.
+# Borders are fixed: no letter, digit or sign that would make it part of more. No group is repeated without
+# bound, since each repetition takes a place on the matcher's stack; a domain has at most 127 labels.
 KINDS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){0,125}\.[A-Za-z]{2,}",
     "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])",
     "date": r"(?<![0-9./-])(?:[0-9]{4}([-/.])[0-9]{2}\1[0-9]{2}|[0-9]{2}([-/.])[0-9]{2}\2[0-9]{4})(?![0-9]|[./-][0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
@@ -66,9 +70,12 @@ def _padded(number: Column, width: Column | int) -> Column:
 
 def refilled(layout: Column, digits: Column) -> Column:
     """``layout`` with its digits replaced, in order, by ``digits``; everything else stays in its place."""
-    letters = F.filter(F.split(layout, ""), lambda c: c != "")
-    return F.array_join(F.transform(letters, lambda c, i: F.when(c.rlike("[0-9]"), F.substr(
-        digits, F.length(_digits(F.substr(layout, F.lit(1), i + 1))), F.lit(1))).otherwise(c)), "")
+    def filled(own: Column, new: Column) -> Column:
+        letters = F.filter(F.split(own, ""), lambda c: c != "")
+        return F.array_join(F.transform(letters, lambda c, i: F.when(c.rlike("[0-9]"), F.substr(
+            new, F.length(_digits(F.substr(own, F.lit(1), i + 1))), F.lit(1))).otherwise(c)), "")
+
+    return bound(layout, lambda own: bound(digits, lambda new: filled(own, new)))
 
 
 def _luhn_sum(digits: Column) -> Column:
@@ -83,11 +90,6 @@ def _luhn_share(digit: Column, doubled: Column) -> Column:
     return F.when(doubled, F.when(twice > 9, twice - 9).otherwise(twice)).otherwise(digit)
 
 
-def _bound(value: Column, use) -> Column:
-    """``use`` of a value that is computed once: a one-element array stands for a local name."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def _power(exponent: Column) -> Column:
     return F.rpad(F.lit("1"), (exponent + 1).cast("int"), F.lit("0")).cast("bigint")
 
@@ -101,37 +103,49 @@ def card_pseudonym(text: Column, key: Column) -> Column:
 
     Groups of four are read from the left: sixteen digits that are a card, or
     nineteen at the end, are replaced as one; a group that starts none stays.
+    All starts are tested first and chosen by one search over their signs, so
+    the time is linear in the number of groups.
     """
     def permuted(digits: Column) -> Column:
         size = F.length(digits) - 1
         half = F.floor(size / 2).cast("int")
-        return _bound(feistel(F.substr(digits, F.lit(1), half), F.substr(digits, half + 1, size - half),
+        return bound(feistel(F.substr(digits, F.lit(1), half), F.substr(digits, half + 1, size - half),
                               _power(half), _power(size - half), F.concat(key, F.lit("card"))),
-                      lambda p: _bound(F.concat(_padded(p["l"], half), _padded(p["r"], size - half)),
+                      lambda p: bound(F.concat(_padded(p["l"], half), _padded(p["r"], size - half)),
                                        lambda body: F.concat(body, F.pmod(
                                            -_luhn_sum(F.concat(body, F.lit("0"))), F.lit(10)).cast("string"))))
 
     def made(value: Column) -> Column:
-        return _bound(_digits(value), lambda digits: refilled(value, permuted(digits)))
-
-    def part(start: Column, size: int) -> Column:
-        return F.substr(text, start, F.lit(size))
-
-    def card_at(start: Column) -> Column:
-        sixteen, nineteen = part(start, 19), part(start, 23)
-        return F.when((F.length(sixteen) == 19) & _is_card(_digits(sixteen)), sixteen).when(
-            nineteen.rlike("[^0-9][0-9]{3}$") & (F.length(nineteen) == 23) & _is_card(_digits(nineteen)), nineteen).otherwise("")
-
-    def step(done: Column, at: Column) -> Column:
-        start = at * 5 + 1
-        return F.when(start < done["next"], done).otherwise(_bound(card_at(start), lambda card: F.when(
-            card == "", done).otherwise(F.struct(
-                (start + F.length(card)).alias("next"),
-                F.concat(done["out"], F.substr(text, done["next"], start - done["next"]), made(card)).alias("out")))))
-
-    groups = F.sequence(F.lit(0), F.floor((F.length(text) + 1) / 5).cast("int") - 1)
-    in_fours = F.aggregate(groups, F.struct(F.lit(1).alias("next"), F.lit("").alias("out")), step, lambda done: F.concat(
-        done["out"], F.substr(text, done["next"], F.length(text))))
+        return bound(_digits(value), lambda digits: refilled(value, permuted(digits)))
+
+    def joined(parts: Column, start: Column, groups: int, between: Column) -> Column:
+        return F.call_function("array_join", F.slice(parts, start + 1, groups), between)
+
+    def marked(parts: Column, fours: Column) -> Column:
+        """A sign per group: 1 and 2 where a card of sixteen or nineteen digits starts, x where one goes on, else 0."""
+        def flag(i: Column) -> Column:
+            sixteen = bound(joined(parts, i, 4, F.lit("")), _is_card)
+            nineteen = (i + 5 == F.size(parts)) & (fours < F.size(parts)) & bound(joined(parts, i, 5, F.lit("")), _is_card)
+            return F.when(i + 4 > fours, F.lit("0")).when(sixteen, F.lit("1")).when(nineteen, F.lit("2")).otherwise(F.lit("0"))
+
+        flags = F.array_join(F.transform(F.sequence(F.lit(0), fours - 1), flag), "")
+        # The search finds the first start from the left and goes on behind its four groups.
+        return F.split(F.regexp_replace(flags, "([12])[012]{3}", "$1xxx"), "")
+
+    def rebuilt(parts: Column, fours: Column, marks: Column, between: Column) -> Column:
+        def piece(i: Column) -> Column:
+            mark = F.get(marks, i)
+            behind = (i == fours) & (F.get(marks, fours - 4) == "2")
+            return F.when(behind | (mark == "x"), F.lit(None).cast("string")).when(
+                (i < fours) & (mark == "1"), made(joined(parts, i, 4, between))).when(
+                (i < fours) & (mark == "2"), made(joined(parts, i, 5, between))).otherwise(F.get(parts, i))
+
+        return F.call_function("array_join", F.transform(F.sequence(F.lit(0), F.size(parts) - 1), piece), between)
+
+    between = F.substring(text, 5, 1)
+    in_fours = bound(F.split(text, "[ -]"), lambda parts: bound(
+        F.size(parts) - (F.length(F.element_at(parts, -1)) < 4).cast("int"), lambda fours: bound(
+            marked(parts, fours), lambda marks: rebuilt(parts, fours, marks, between))))
     alone = F.when(_is_card(_digits(text)), made(text)).otherwise(text)
     return F.when(text.rlike("^[0-9]{4}[ -][0-9]{4}[ -]"), in_fours).otherwise(alone)
 
@@ -141,11 +155,11 @@ def ip_pseudonym(text: Column, key: Column) -> Column:
     def permuted(parts: Column) -> Column:
         n = [F.get(parts, i).cast("int") for i in range(4)]
         size = F.lit(65536).cast("bigint")
-        return _bound(feistel(n[0] * 256 + n[1], n[2] * 256 + n[3], size, size, F.concat(key, F.lit("ip"))),
+        return bound(feistel(n[0] * 256 + n[1], n[2] * 256 + n[3], size, size, F.concat(key, F.lit("ip"))),
                       lambda p: F.concat_ws(".", *(F.floor(p[h] / 256).cast("string") if high else (p[h] % 256).cast("string")
                                                    for h in "lr" for high in (True, False))))
 
-    return _bound(F.split(text, r"\."), lambda parts: F.when(
+    return bound(F.split(text, r"\."), lambda parts: F.when(
         F.forall(parts, lambda part: part.cast("int") <= 255), permuted(parts)).otherwise(text))
 
 
@@ -157,10 +171,10 @@ def phone_pseudonym(text: Column, key: Column) -> Column:
         first = F.when(area < 200, 0).otherwise(200)
         areas = F.when(area < 200, 200).otherwise(800).cast("bigint")
         mixed = feistel(area - first, line, areas, F.lit(10_000_000).cast("bigint"), F.concat(key, F.lit("phone")))
-        return _bound(mixed, lambda p: F.concat(F.substr(digits, F.lit(1), F.length(digits) - 10),
+        return bound(mixed, lambda p: F.concat(F.substr(digits, F.lit(1), F.length(digits) - 10),
                                                 _padded(p["l"] + first, 3), _padded(p["r"], 7)))
 
-    return _bound(_digits(text), lambda digits: refilled(text, permuted(digits)))
+    return bound(_digits(text), lambda digits: refilled(text, permuted(digits)))
 
 
 def ssn_pseudonym(text: Column, key: Column) -> Column:
@@ -170,7 +184,7 @@ def ssn_pseudonym(text: Column, key: Column) -> Column:
     left = F.when(area < 666, area - 1).otherwise(area - 2)
     mixed = feistel(left, (group - 1) * 9999 + serial - 1, F.lit(898).cast("bigint"), F.lit(99 * 9999).cast("bigint"),
                     F.concat(key, F.lit("ssn")))
-    made = _bound(mixed, lambda p: F.concat_ws(
+    made = bound(mixed, lambda p: F.concat_ws(
         "-", _padded(F.when(p["l"] < 665, p["l"] + 1).otherwise(p["l"] + 2), 3),
         _padded(F.floor(p["r"] / 9999) + 1, 2), _padded(p["r"] % 9999 + 1, 4)))
     return F.when(valid, made).otherwise(text)
@@ -186,7 +200,7 @@ def date_pseudonym(text: Column, key: Column) -> Column:
         day = F.datediff(F.to_date(iso), F.lit("1700-01-01").cast("date"))
         mixed = feistel(F.floor(day / 5411), day % 5411, F.lit(27).cast("bigint"), F.lit(5411).cast("bigint"),
                         F.concat(key, F.lit("date")))
-        return _bound(mixed, lambda p: F.date_add(F.lit("1700-01-01").cast("date"), (p["l"] * 5411 + p["r"]).cast("int")))
+        return bound(mixed, lambda p: F.date_add(F.lit("1700-01-01").cast("date"), (p["l"] * 5411 + p["r"]).cast("int")))
 
     def iso(year: int, month: int, day: int) -> Column:
         return F.concat_ws("-", F.substring(text, year, 4), F.substring(text, month, 2), F.substring(text, day, 2))
@@ -241,8 +255,16 @@ def pseudonymised(text: Column, key: Column) -> Column:
     return F.when(text.rlike("[0-9@]"), whole).otherwise(text)
 
 
-def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY, text_col: str = "text") -> DataFrame:
-    """``docs`` with the values in its text replaced, all other columns as they are.
+def configured_key(spark: SparkSession, default: str | None = None) -> str:
+    """The key of the session's setting; without one ``default``, and without that an error."""
+    key = spark.conf.get(KEY_SETTING, default)
+    if not key:
+        raise ValueError(f"set {KEY_SETTING} or give a key: pseudonyms need a secret one")
+    return key
+
+
+def pseudonymise(docs: DataFrame, key: str | None = None, text_col: str = "text") -> DataFrame:
+    """``docs`` with the values in its text replaced, all other columns as they are; ``key`` comes from the session if not given.
 
     Card numbers (check digit), addresses of the internet protocol, calendar
     dates, telephone and social-security numbers are permuted by key within
@@ -252,4 +274,4 @@ def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY, text_col: str = "text"
     rows are independent of each other, so order, ties, repeats and an empty
     table need no rule. Nothing is shuffled.
     """
-    return docs.withColumn(text_col, pseudonymised(F.col(text_col), F.lit(key)))
+    return docs.withColumn(text_col, pseudonymised(F.col(text_col), F.lit(key or configured_key(docs.sparkSession))))
