@@ -12,6 +12,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.llm.texts import bound
+
 #: Lengths of the character n-grams and columns they are hashed into.
 GRAMS, COLUMNS = (3, 4, 5), 1 << 15
 
@@ -85,15 +87,12 @@ def rule_of(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Column,
 
 def _grams(text: Column, mark: str) -> Column:
     """All n-grams of the marked-off text, each with its mark, in time linear in the text."""
-    letters = F.split(F.concat(F.lit("^"), text, F.lit("$")), "")
-    size = F.size(letters)
-
-    def runs(n: int) -> Column:
-        every = F.transform(F.sequence(F.lit(0), size - n), lambda i: F.concat(
+    def runs(letters: Column, n: int) -> Column:
+        every = F.transform(F.sequence(F.lit(0), F.size(letters) - n), lambda i: F.concat(
             F.lit(mark), *(F.get(letters, i + k) for k in range(n))))
-        return F.when(size >= n, every).otherwise(F.array().cast("array<string>"))
+        return F.when(F.size(letters) >= n, every).otherwise(F.array().cast("array<string>"))
 
-    return F.concat(*map(runs, GRAMS))
+    return bound(F.split(F.concat(F.lit("^"), text, F.lit("$")), ""), lambda letters: F.concat(*(runs(letters, n) for n in GRAMS)))
 
 
 def with_grams(rows: DataFrame) -> DataFrame:
