@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.llm.texts import bound
 from riskloom.session import stage
 
 #: Consecutive lines of a window.
@@ -45,16 +46,24 @@ def without_runs(lines: Column, starts: Column, width: int = WINDOW) -> Column:
     """The lines outside all windows that begin at ``starts`` (ascending, distinct).
 
     Windows that touch are merged into runs first; the lines between the runs
-    are slices. Time is linear in lines and starts.
+    are slices. Every array is computed once, so time is linear in lines and starts.
     """
-    last = F.size(starts) - 1
-    begins = F.filter(starts, lambda s, i: (i == 0) | (s > F.get(starts, i - 1) + width))
-    ends = F.transform(F.filter(starts, lambda s, i: (i == last) | (F.get(starts, i + 1) > s + width)), lambda s: s + width)
-    gaps = F.transform(F.sequence(F.lit(0), F.size(begins)), lambda j: F.struct(
-        F.coalesce(F.when(j > 0, F.get(ends, j - 1)), F.lit(0)).alias("start"),
-        F.coalesce(F.get(begins, j), F.size(lines)).alias("stop")))
-    return F.flatten(F.transform(gaps, lambda g: F.slice(lines, (g["start"] + 1).cast("int"),
-                                                          (g["stop"] - g["start"]).cast("int"))))
+    def begins(found: Column) -> Column:
+        return F.filter(found, lambda s, i: (i == 0) | (s > F.get(found, i - 1) + width))
+
+    def ends(found: Column) -> Column:
+        last = F.filter(found, lambda s, i: (i == F.size(found) - 1) | (F.get(found, i + 1) > s + width))
+        return F.transform(last, lambda s: s + width)
+
+    def between(every: Column, first: Column, behind: Column) -> Column:
+        gaps = F.transform(F.sequence(F.lit(0), F.size(first)), lambda j: F.struct(
+            F.coalesce(F.when(j > 0, F.get(behind, j - 1)), F.lit(0)).alias("start"),
+            F.coalesce(F.get(first, j), F.size(every)).alias("stop")))
+        return F.flatten(F.transform(gaps, lambda g: F.slice(every, (g["start"] + 1).cast("int"),
+                                                              (g["stop"] - g["start"]).cast("int"))))
+
+    return bound(lines, lambda every: bound(starts, lambda found: bound(begins(found), lambda first: bound(
+        ends(found), lambda behind: between(every, first, behind)))))
 
 
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WINDOW) -> DataFrame:
