@@ -152,14 +152,10 @@ def in_descending_blocks(docs: DataFrame, per_partition: int = 4) -> DataFrame:
     if docs.filter(F.col("doc_id").isNull()).limit(1).count():
         first[len(borders) + 1] = None
     present = sorted(first)
-    previous = {block: present[i - 1] for i, block in enumerate(present)}
-    heads_of = {first[block]: previous[block] for block in present}
-
-    @F.pandas_udf("int")
-    def guest_of(values: pd.Series) -> pd.Series:
-        return pd.Series([heads_of.get(None if v is None or v != v else int(v)) for v in values], dtype="Int32")
-
-    placed = docs.withColumn("_block", block_of("doc_id")).withColumn("_as_guest", guest_of("doc_id"))
+    # One row per block: which id's rows are sent to which block as well. Ids are compared as they are.
+    guests = spark.createDataFrame([(first[block], present[i - 1]) for i, block in enumerate(present)], "_head long, _as_guest int")
+    placed = docs.withColumn("_block", block_of("doc_id")) \
+        .join(F.broadcast(guests), F.col("doc_id").eqNullSafe(F.col("_head")), "left")
     return placed.withColumn("_place", F.explode(F.when(F.col("_as_guest").isNull(), F.array(
         F.struct(F.col("_block").alias("b"), F.lit(False).alias("g")))).otherwise(F.array(
             F.struct(F.col("_block").alias("b"), F.lit(False).alias("g")),
@@ -175,7 +171,7 @@ def document_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Returns ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next``. Documents follow each other by descending id
     (rows of one id by descending text, null ids last), the first follows the
-    last. A null text is empty. In a table of one row the row follows itself;
+    last. Ids are integers. A null text is empty. In a table of one row the row follows itself;
     an empty table gives no rows. Texts cross the network once.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -189,8 +185,12 @@ def document_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str
                     if held is not None and held[2] == row[2]:
                         yield held, row
                         held = None if row[3] else row
+                    elif held is not None:
+                        raise RuntimeError(f"block {held[2]} has no row that follows document {held[0]}")
                     elif not row[3]:
                         held = row
+        if held is not None:
+            raise RuntimeError(f"block {held[2]} has no row that follows document {held[0]}")
 
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
