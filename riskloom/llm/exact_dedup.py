@@ -7,6 +7,7 @@ import string
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.llm.texts import fresh
 from riskloom.session import stage
 
 #: Counters of the frequent-items summary. A digest in more than 1/HEAVY_COUNTERS
@@ -86,8 +87,9 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     def row_key(doc_id, digest):
         return F.concat_ws("|", doc_id.cast("string"), digest)
 
+    name = fresh("_row_key", docs.columns)
     kept = exact_duplicates(docs, id_col, text_col).filter("kept").select(
-        row_key(F.col("doc_id"), F.col("text_sha256")).alias("_row_key"))
-    keyed = docs.withColumn("_row_key", row_key(F.col(id_col), text_digest(F.col(text_col))))
+        row_key(F.col("doc_id"), F.col("text_sha256")).alias(name))
+    keyed = docs.withColumn(name, row_key(F.col(id_col), text_digest(F.col(text_col))))
     # The join leaves the rows by key, so dropping repeated ones needs no further shuffle.
-    return keyed.join(kept, "_row_key", "left_semi").dropDuplicates(["_row_key"]).drop("_row_key")
+    return keyed.join(kept, name, "left_semi").dropDuplicates([name]).drop(name)
