@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from riskloom.llm.components import components
 from riskloom.llm.fingerprints import mix
 from riskloom.llm.shingles import WORDS, sampled_tokens, sequence_digest, shingle_hashes, word_hashes
-from riskloom.llm.texts import arrow_map, id_and_text
+from riskloom.llm.texts import arrow_map, fresh, id_and_text
 from riskloom.session import stage
 
 SIMILARITY = 0.8
@@ -26,9 +26,9 @@ DEPTH, RECALL = 3, 0.999
 #: Sets that are compared with each other at once; and shingles held at once.
 #: Larger buckets and groups are compared exactly too, block by block.
 SMALL, HELD = 512, 2_000_000
-#: Rows (about 100 bytes each) of the list of texts to compare that may be
-#: broadcast. A longer list meets the texts in a sort-merge join.
-BROADCAST_ROWS = 500_000
+#: Texts that are wanted are told from the others by this many values of a hash, which all tasks
+#: get to know: 8 bytes each, however many texts there are.
+MARK_VALUES = 1 << 22
 
 
 def runs_for(recall: float = RECALL, depth: int = DEPTH, similarity: float = SIMILARITY) -> int:
@@ -266,7 +266,7 @@ def _classified(texts: DataFrame, similarity: float = SIMILARITY, words: int = W
     """The rows of ``near_duplicates`` with ``mark`` of their text and ``root``, which names the class without an id."""
     rows = stage(described(texts, words), "described")
     sets = stage(rows.filter("size > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"),
+        F.min("doc_id").alias("first_id"), F.min("mark").alias("mark"), F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"),
         F.first("tokens").alias("tokens"), F.first("brief").alias("brief")), "sets")
 
     leaves = leaf_buckets(sets, similarity, depth, recall)
@@ -276,10 +276,10 @@ def _classified(texts: DataFrame, similarity: float = SIMILARITY, words: int = W
         .mapInArrow(lambda batches: _likely(batches, similarity), "a binary, b binary")
     parts = stage(components(likely).withColumnRenamed("node", "digest"), "likely-parts")
 
-    members = parts.join(sets.select("digest", "first_id", "copies", "size"), "digest")
+    members = parts.join(sets.select("digest", "mark", "copies", "size"), "digest")
     extent = members.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total"))
     wanted = members.join(extent, "root").select(
-        "digest", "first_id", "copies", F.hex("root").alias("part"),
+        "digest", "mark", "copies", F.hex("root").alias("part"),
         F.greatest(F.ceil(F.col("n") / SMALL), F.ceil(F.col("total") / HELD)).alias("blocks"))
     compared = _with_shingles(texts, stage(wanted, "members"), words)
     exact = in_blocks(compared, "part", F.col("blocks")).select("_key", "digest", "_side", "copies", "shingles") \
@@ -302,25 +302,35 @@ def _classified(texts: DataFrame, similarity: float = SIMILARITY, words: int = W
     return named.unionByName(alone)
 
 
+def text_mark(text: Column) -> Column:
+    """The ``mark`` of a text: its MD5, null as empty."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+
+
 def _with_shingles(texts: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """``wanted`` with the shingle set of each digest's first document.
+    """``wanted`` with the shingle set of each digest, from a text with its mark.
 
-    Only few texts are wanted. While their list is short it goes to the texts,
-    so that texts do not cross the network to be thrown away.
+    Only few texts are wanted. A hash of the marks, of a bounded number of values, tells most others
+    where they are read, so that they do not cross the network to be thrown away; the
+    join by mark then decides. Of the copies of a text each task passes on one.
     """
-    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
-    joined = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["first_id"])).select(
+    value = F.pmod(F.xxhash64("mark"), F.lit(MARK_VALUES))
+    values = wanted.select(value.alias("value")).distinct()
+    marked = texts.select(text_mark(F.col("text")).alias("mark"), "text").withColumn("value", value)
+    joined = marked.join(F.broadcast(values), "value", "left_semi").join(wanted, "mark").select(
         "text", "digest", "copies", "part", "blocks")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                found = [word_hashes(t) for t in part.column(0).to_pylist()]
-                # Another text with the same id is not the one that is wanted.
-                same = [sequence_digest(w) == d for w, d in zip(found, part.column(1).to_pylist())]
-                chosen = part.filter(pa.array(same, pa.bool_()))
-                shingles = [shingle_hashes(w, words).tobytes() for w, ok in zip(found, same) if ok]
+                new = []
+                for digest in part.column(1).to_pylist():
+                    new.append(digest not in seen)
+                    seen.add(digest)
+                chosen = part.filter(pa.array(new, pa.bool_()))
+                shingles = [shingle_hashes(word_hashes(t), words).tobytes() for t in chosen.column(0).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*chosen.columns[1:], pa.array(shingles, pa.binary())],
                                                  names=["digest", "copies", "part", "blocks", "shingles"])
 
@@ -334,11 +344,11 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     and rows without an id (they come last) are dropped too. Only repeats of
     the chosen row, equal in id and text, stay with it.
     """
+    gone, mark = fresh("_dropped", docs.columns), fresh("_mark", docs.columns)
     found = stage(_classified(id_and_text(docs, id_col, text_col), **settings).filter("class_size > 1")
                   .select("root", "doc_id", "mark").distinct(), "near-classes")
     kept = found.groupBy("root").agg(F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "mark")).alias("kept"))
     dropped = found.join(kept, "root") \
         .filter(~(F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("mark") == F.col("kept.mark")))) \
-        .select(F.col("doc_id").alias("_dropped"), F.col("mark").alias("_mark"))
-    mark = F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
-    return docs.join(dropped, F.col(id_col).eqNullSafe(F.col("_dropped")) & (mark == F.col("_mark")), "left_anti")
+        .select(F.col("doc_id").alias(gone), F.col("mark").alias(mark))
+    return docs.join(dropped, F.col(id_col).eqNullSafe(F.col(gone)) & (text_mark(F.col(text_col)) == F.col(mark)), "left_anti")
