@@ -18,11 +18,13 @@ from riskloom.session import stage
 GRAMS = (1, 2, 3, 4)
 #: n-grams are hashed into this many columns (a power of two).
 COLUMNS = 1 << 17
-#: Bounds of the learning sample: rows of each language, and landmarks among them.
+#: Bounds of the learning sample: rows of each language, and landmarks among them; rows and landmarks of all
+#: languages together; and languages. With more languages than that the most frequent ones are learned.
 ROWS_PER_LANGUAGE, LANDMARKS_PER_LANGUAGE = 300, 40
+ROWS, LANDMARKS, LANGUAGES = 2_400, 240, 1_000
 RIDGE = 1e-2
 #: Rows whose feature lists are multiplied together.
-SCORED_ROWS = 256
+SCORED_ROWS = 64
 #: Characters whose n-grams are hashed at once.
 BLOCK = 1 << 18
 
@@ -53,6 +55,13 @@ def gram_columns(text: str, mark: np.ndarray) -> np.ndarray:
     return found
 
 
+def _places(columns: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Where the wanted columns are among ``columns``; those that are not there are left out."""
+    at = np.searchsorted(columns, wanted)
+    at[at == len(columns)] = 0
+    return at[columns[at] == wanted] if len(columns) else at
+
+
 def has_letter(text: str) -> bool:
     return any(map(str.isalpha, text))
 
@@ -62,23 +71,26 @@ class KernelModel:
     """One column of weights for each language, over the presence of n-grams.
 
     The kernel of two texts is the number of n-grams in both over the root of
-    the product of their numbers. It is an inner product, so landmark rows and
-    ridge coefficients are multiplied out once: ``weights`` is the transposed
-    landmark matrix times the coefficients, and scoring needs no landmarks.
+    the product of their numbers. It is an inner product, so landmarks and coefficients
+    can be multiplied out, which is how a model of few languages is looked into.
     """
 
     languages: list[str]
     weights: np.ndarray
 
+    def products(self, found: list[np.ndarray]) -> np.ndarray:
+        """For each text, given by its n-gram columns, the sum of their weights."""
+        sizes = np.array([len(own) for own in found])
+        return np.add.reduceat(self.weights[np.concatenate(found)], np.cumsum(sizes) - sizes, axis=0)
+
     def scores(self, texts: list[str]) -> np.ndarray:
-        """A matrix product of the batch's (sparse) presence rows with the weights."""
+        """The scores of each text, batch by batch."""
         mark = np.zeros(COLUMNS, np.uint8)
         out = np.zeros((len(texts), len(self.languages)))
         for start in range(0, len(texts), SCORED_ROWS):
-            columns = [gram_columns(t, mark) for t in texts[start:start + SCORED_ROWS]]
-            sizes = np.array([len(c) for c in columns])
-            sums = np.add.reduceat(self.weights[np.concatenate(columns)], np.cumsum(sizes) - sizes, axis=0)
-            out[start:start + len(columns)] = sums / np.sqrt(sizes)[:, None]
+            found = [gram_columns(t, mark) for t in texts[start:start + SCORED_ROWS]]
+            sizes = np.array([len(own) for own in found])
+            out[start:start + len(found)] = self.products(found) / np.sqrt(sizes)[:, None]
         return out
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
@@ -91,17 +103,44 @@ class KernelModel:
         return labels, best
 
 
-def learning_rows(docs: DataFrame, rows_per_language: int, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    """``(lang, columns)`` of at most ``rows_per_language`` rows of each language: those of smallest hash.
+class LandmarkModel(KernelModel):
+    """Landmark texts and one column of coefficients for each language.
+
+    ``columns`` are the n-gram columns that any landmark has, ascending; ``landmarks`` has a row for
+    each landmark: its presence there, over the root of its number of n-grams.
+    """
+
+    def __init__(self, languages: list[str], columns: np.ndarray, landmarks: np.ndarray, coefficients: np.ndarray):
+        self.languages, self.columns, self.landmarks, self.coefficients = languages, columns, landmarks, coefficients
+
+    def products(self, found: list[np.ndarray]) -> np.ndarray:
+        """The kernel of the batch and the landmarks as one matrix product, times the coefficients."""
+        present = np.zeros((len(found), len(self.columns)), np.float32)
+        for row, own in zip(present, found):
+            row[_places(self.columns, own)] = 1
+        return (present @ self.landmarks.T).astype(np.float64) @ self.coefficients
+
+    def folded(self) -> KernelModel:
+        """The same model with landmarks and coefficients multiplied out: a weight per n-gram column and language."""
+        weights = np.zeros((COLUMNS, len(self.languages)))
+        weights[self.columns] = self.landmarks.T.astype(np.float64) @ self.coefficients
+        return KernelModel(self.languages, weights)
+
+
+def learning_rows(docs: DataFrame, rows_per_language: int, id_col: str, text_col: str, lang_col: str,
+                  all_rows: int = ROWS, most_languages: int = LANGUAGES) -> DataFrame:
+    """``(lang, columns)`` of a bounded number of rows of each language: those of smallest hash.
 
-    Only rows that are not held out, have a language and a letter take part.
-    Counts by language thin the rows to about four times as many as wanted
+    Only rows that are not held out, have a language and a letter take part, and of the languages at most
+    ``most_languages``, the most frequent ones (ties by name). Each has ``rows_per_language`` rows, or its
+    share of ``all_rows`` if that is less. Counts by language thin the rows to about four times as many as wanted
     before any text is moved, so what is moved does not grow with the table.
     ``columns`` is a bit per n-gram column, so a row has ``COLUMNS / 8`` bytes however long its text is.
     """
     labelled = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("_id")) \
         .filter(~held_out(F.col("_id")) & F.col("lang").isNotNull())
-    counts = labelled.groupBy("lang").count().collect()
+    counts = labelled.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(most_languages).collect()
+    rows_per_language = max(1, min(rows_per_language, all_rows // max(1, len(counts))))
     if counts:
         share = F.create_map(*(F.lit(x) for r in counts for x in (r["lang"], 4.0 * rows_per_language / r["count"])))
         labelled = labelled.filter(F.pmod(F.xxhash64("_id", "text"), F.lit(1 << 31)) < share[F.col("lang")] * (1 << 31))
@@ -127,40 +166,42 @@ def held_out(doc_id):
 
 def fit_language_model(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE,
                        landmarks_per_language: int = LANDMARKS_PER_LANGUAGE, ridge: float = RIDGE,
-                       id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> KernelModel:
+                       id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LandmarkModel:
     """Kernel ridge regression, one language against the rest, in the span of the landmarks.
 
-    The sample is bounded by ``rows_per_language`` rows of a language, and
-    reaches the driver as ``COLUMNS / 8`` bytes a row. Ties of the sample are
+    The sample is bounded by ``rows_per_language`` rows of a language, ``ROWS`` rows and ``LANGUAGES`` languages
+    in all, and reaches the driver as ``COLUMNS / 8`` bytes a row. Landmarks are dealt out in turn, up to
+    ``landmarks_per_language`` to a language and ``LANDMARKS`` in all. Ties of the sample are
     broken by the text, so the model does not depend on the order of rows.
     """
     sample = stage(learning_rows(docs, rows_per_language, id_col, text_col, lang_col), "language-sample") \
         .orderBy("lang", "columns").collect()
-    languages = sorted({r["lang"] for r in sample})
+    names = sorted({r["lang"] for r in sample})
     if not sample:
-        return KernelModel([], np.zeros((COLUMNS, 0)))
-    labels = np.array([languages.index(r["lang"]) for r in sample])
+        return LandmarkModel([], np.zeros(0, np.int64), np.zeros((0, 0), np.float32), np.zeros((0, 0)))
+    number = {name: at for at, name in enumerate(names)}
+    labels = np.array([number[r["lang"]] for r in sample])
 
     def dense(rows) -> np.ndarray:
         present = np.unpackbits(np.stack([np.frombuffer(sample[i]["columns"], np.uint8) for i in rows]), axis=1)
         return present.astype(np.float32)
 
     rng = np.random.default_rng(0)
-    marks = np.concatenate([rng.permutation(np.flatnonzero(labels == c))[:landmarks_per_language]
-                            for c in range(len(languages))])
+    per_language = min(landmarks_per_language, max(1, LANDMARKS // len(names)))
+    marks = np.concatenate([rng.permutation(np.flatnonzero(labels == c))[:per_language] for c in range(len(names))])[:LANDMARKS]
     landmarks = dense(marks)
-    landmarks /= np.sqrt(landmarks.sum(axis=1, keepdims=True))
+    columns = np.flatnonzero(landmarks.any(axis=0))
+    landmarks = landmarks[:, columns] / np.sqrt(landmarks.sum(axis=1, keepdims=True))
     kernel = np.zeros((len(sample), len(marks)))
     for start in range(0, len(sample), 64):
         block = dense(range(start, min(start + 64, len(sample))))
-        kernel[start:start + 64] = block @ landmarks.T / np.sqrt(block.sum(axis=1, keepdims=True))
-    targets = np.eye(len(languages))[labels]
+        kernel[start:start + 64] = block[:, columns] @ landmarks.T / np.sqrt(block.sum(axis=1, keepdims=True))
+    targets = np.eye(len(names))[labels]
     # Every language has the same say, however many rows it has.
-    weight = (len(sample) / len(languages) / np.bincount(labels))[labels][:, None]
+    weight = (len(sample) / len(names) / np.bincount(labels))[labels][:, None]
     among = kernel[marks]
     left = kernel.T @ (weight * kernel) + ridge * len(sample) / len(marks) * among + 1e-8 * np.eye(len(marks))
-    coefficients = np.linalg.solve(left, kernel.T @ (weight * targets))
-    return KernelModel(languages, (landmarks.T @ coefficients.astype(np.float32)).astype(np.float64))
+    return LandmarkModel(names, columns, landmarks, np.linalg.solve(left, kernel.T @ (weight * targets)))
 
 
 def predict_language(docs: DataFrame, model: KernelModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
