@@ -6,10 +6,11 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from riskloom.checks import query, table
+from riskloom.operators.boosting import Booster, boost, boost_folds, split_counts
 from riskloom.operators.encode import ordinal_encode
 from riskloom.operators.models import (
     Trees, feature_importances, fit_with_best_rounds, fit_with_patience, load_tree_model, model_input, most_categories,
-    out_of_fold, predict, save_model, search_one_at_a_time, tree_pipeline)
+    out_of_fold, predict, probability, save_model, search_one_at_a_time, tree_pipeline)
 from riskloom.operators.sampling import hash_fold, holdout_split, negative_bags, sample_weights
 from riskloom.operators.scoring import bag_average
 from riskloom.operators.terms import term_vector, top_terms
@@ -161,3 +162,67 @@ def tree_rule_search(spark, sf_dir):
     found = search_one_at_a_time(rows, tree_pipeline(RULE_FEATURES, "label", replace(RULE, rounds=5)),
                                  {"minInfoGain": [0.0, 1.0], "minInstancesPerNode": [1, 1_000_000_000]}, "label", "fold", 3)
     return found.select("parameter", "value", (F.col("metric") < 0.1).cast("int").alias("learns"))
+
+
+# Boosting that goes on: category splits that no threshold can replace, continued training, splits counted.
+
+CODES = 64
+PARITY = Trees(rounds=6, step=0.5, depth=1, bins=CODES, patience=4)
+PARITY_FEATURES = ["code_encoder", "price"]
+PARITY_SQL = f"SELECT o_orderkey, CAST(o_custkey % {CODES} % 2 AS INTEGER) AS predicted FROM orders"
+
+
+def parity_rows(spark, sf_dir):
+    """All orders with one of 64 codes; the label is the code's parity, so one split on a threshold tells next to nothing."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", (F.col("o_custkey") % CODES).cast("string").alias("code"), F.col("o_totalprice").alias("price"),
+        (F.col("o_custkey") % CODES % 2).cast("double").alias("label"))
+    coded = ordinal_encode(orders, ["code"], ["o_orderkey"]).withColumn("fold", hash_fold(["o_orderkey"], 3, 2018))
+    return stage(model_input(coded, ["o_orderkey", "label", "fold"], PARITY_FEATURES), "parity-rows")
+
+
+@query(PARITY_SQL)
+def boost_parity_class(spark, sf_dir):
+    """Trees of one split, stopped on the held-out AUC: only a split by categories can part even from odd codes."""
+    rows = parity_rows(spark, sf_dir)
+    model = boost(rows.filter("fold > 0"), rows.filter("fold = 0"), PARITY_FEATURES, "label", PARITY,
+                  categorical=PARITY_FEATURES[:1], max_categories=CODES).model
+    return predicted_class(predict(model, rows, ["o_orderkey"], "score"))
+
+
+@query("SELECT o_orderkey, true AS same FROM orders")
+def boost_continued(spark, sf_dir):
+    """Two rounds and, from the saved model, three more score like five rounds at once."""
+    rows = parity_rows(spark, sf_dir)
+    numbers = replace(PARITY, depth=3)
+    path = staging_path(spark, "model")
+    first = Booster(rows, PARITY_FEATURES, "label", numbers)
+    first.advance(2)
+    save_model(first.model(), path)
+    more = Booster(rows, PARITY_FEATURES, "label", numbers, start=load_tree_model(path))
+    more.advance(3)
+    whole = Booster(rows, PARITY_FEATURES, "label", numbers)
+    whole.advance(5)
+    scored = predict(more.model(), whole.model().transform(rows).withColumn("once", probability())
+                     .drop("features", "rawPrediction", "probability", "prediction"), ["o_orderkey", "once"], "later")
+    return scored.select("o_orderkey", (F.abs(F.col("once") - F.col("later")) < 1e-9).alias("same"))
+
+
+@query(f"""
+SELECT * FROM (VALUES ('code_encoder', CAST({PARITY.rounds} AS BIGINT)), ('price', CAST(0 AS BIGINT))) AS t (feature, n_splits)
+""")
+def boost_split_counts(spark, sf_dir):
+    """Every tree splits once, and on the code."""
+    booster = Booster(parity_rows(spark, sf_dir), PARITY_FEATURES, "label", PARITY, categorical=PARITY_FEATURES[:1], max_categories=CODES)
+    booster.advance(PARITY.rounds)
+    return split_counts(booster.model(), spark).select("feature", "n_splits")
+
+
+@query(PARITY_SQL)
+def boost_fold_models(spark, sf_dir):
+    """One model a fold, each stopped by its own fold; every order is scored by the one that did not see it."""
+    rows = parity_rows(spark, sf_dir)
+    models = boost_folds(rows, PARITY_FEATURES, "label", "fold", 3, replace(PARITY, rounds=3), categorical=PARITY_FEATURES[:1],
+                         max_categories=CODES)
+    parts = [predict(m.model, rows.filter(F.col("fold") == i), ["o_orderkey"], "score") for i, m in enumerate(models)]
+    return predicted_class(parts[0].unionByName(parts[1]).unionByName(parts[2]))

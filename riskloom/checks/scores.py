@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from riskloom.checks import query, table
 from riskloom.checks.aggregates import rounded
 from riskloom.operators.scoring import (
-    auc_exact, bag_average, base_rules, blend_tables, extended_rules, fold_gate_average, rank_fusion, residual,
+    auc_by_group, auc_exact, bag_average, base_rules, blend_tables, extended_rules, fold_gate_average, rank_fusion, residual,
     top_features)
 
 FLAG_SQL = """
@@ -159,3 +159,14 @@ def feature_topk(spark, sf_dir):
     sums = table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(F.sum("l_quantity").alias("q"))
     part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("feature"))
     return top_features(sums.join(part, "l_partkey").groupBy("feature").agg(F.sum("q").alias("importance")), 10)
+
+
+@query(AUC_SQL.replace("SELECT score, sum(y)", "SELECT fold, score, sum(y)").replace("GROUP BY 1)", "GROUP BY 1, 2)")
+       .replace("SELECT pos, neg, sum(neg) OVER (ORDER", "SELECT fold, pos, neg, sum(neg) OVER (PARTITION BY fold ORDER")
+       .replace("\nSELECT CAST(sum(pos) AS BIGINT)", "\nSELECT fold, CAST(sum(pos) AS BIGINT)").replace("FROM w\n", "FROM w GROUP BY fold\n")
+       .format(rows="SELECT l_linenumber AS fold, l_quantity AS score, CASE l_returnflag WHEN 'R' THEN 1 WHEN 'A' THEN 0 END AS y FROM lineitem"))
+def auc_by_fold(spark, sf_dir):
+    """One AUC a group, all from one ordering."""
+    label = F.when(F.col("l_returnflag") == "R", 1).when(F.col("l_returnflag") == "A", 0)
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_linenumber").alias("fold"), "l_quantity", label.alias("y"))
+    return rounded(auc_by_group(rows, ["fold"], "l_quantity", "y"), "auc", digits=12)

@@ -223,15 +223,20 @@ def auc(df: DataFrame, label: str) -> float:
     return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction").evaluate(df)
 
 
-def feature_importances(model: PipelineModel, df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """``feature, importance``: one row per feature of the model."""
+def feature_order(model: PipelineModel) -> list[str]:
+    """The features of a model in the order of its vector."""
     order = [f for stage in model.stages for f in (stage.getInputCols() if isinstance(stage, VectorAssembler) else [])]
     if "_indexed" in order:
         categories = list(model.stages[0].getInputCols())
         order = [*categories, *[f for f in model.stages[-2].getInputCols() if f != "_indexed"]]
+    return order
+
+
+def feature_importances(model: PipelineModel, df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """``feature, importance``: one row per feature of the model."""
     values = model.stages[-1].featureImportances.toArray()
     return df.sparkSession.createDataFrame(
-        [(f, float(v)) for f, v in zip(order, values)], "feature string, importance double")
+        [(f, float(v)) for f, v in zip(feature_order(model), values)], "feature string, importance double")
 
 
 def save_model(model: Model, path: str) -> None:

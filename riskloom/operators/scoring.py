@@ -121,6 +121,23 @@ def auc_exact(df: DataFrame, score: str, label: str) -> DataFrame:
              F.try_divide(F.col("_halves"), F.col("n_pos").cast("double") * F.col("n_neg") * 2).alias("auc"))
 
 
+def auc_by_group(df: DataFrame, group: Sequence[str], score: str, label: str) -> DataFrame:
+    """``n_pos, n_neg, auc`` as in :func:`auc_exact`, one row per ``group`` (folds, models, rounds).
+
+    All groups are ordered in one pass, so a hundred models cost one ordering. A group without
+    a known label and score has no row, one without both classes a null.
+    """
+    known = df.filter(F.col(label).isNotNull())
+    scored = ordered_values(known, group, score, {
+        "pos": F.count_if(F.col(label) == 1), "neg": F.count_if(F.col(label) == 0)})
+    wide = lambda c: F.col(c).cast("decimal(19,0)")
+    halves = F.sum(wide("pos") * (wide("before_neg") * 2 + wide("neg")))
+    return scored.groupBy(*group).agg(
+        F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"), halves.cast("double").alias("_halves")
+    ).select(*group, "n_pos", "n_neg",
+             F.try_divide(F.col("_halves"), F.col("n_pos").cast("double") * F.col("n_neg") * 2).alias("auc"))
+
+
 def residual(prediction: Column, label: Column) -> Column:
     """Prediction minus label."""
     return prediction - label

@@ -8,10 +8,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from riskloom.operators.aggregates import Feature, entity_features
+from riskloom.operators.boosting import boost_folds, boost_with_best_rounds
 from riskloom.operators.joins import attach, membership_flags
 from riskloom.operators.models import (
-    MODEL_A_TARGET1, MODEL_A_TARGET2, MODEL_B_TARGET1, MODEL_B_TARGET2, Trees, fit_with_best_rounds, fit_with_patience,
-    in_parallel, mean_score, model_input, most_categories, predict)
+    MODEL_A_TARGET1, MODEL_A_TARGET2, MODEL_B_TARGET1, MODEL_B_TARGET2, Trees, mean_score, model_input,
+    most_categories, predict)
 from riskloom.operators.sampling import negative_bags, sample_weights, stratified_fold
 from riskloom.operators.scoring import (
     FOLD_AUC_GATE, auc_exact, bag_average, base_rules, blend_tables, extended_rules)
@@ -105,27 +106,22 @@ def score_a(train: DataFrame, test: DataFrame, settings: Settings) -> DataFrame:
                  partition_by=("bag",))
     parts = None
     for bag in range(settings.bags):
-        model = fit_with_best_rounds(bags.filter(F.col("bag") == bag), FEATURES_A1, "is_shixin", "fold",
-                                     settings.folds, settings.a1)
+        model = boost_with_best_rounds(bags.filter(F.col("bag") == bag), FEATURES_A1, "is_shixin", "fold",
+                                       settings.folds, settings.a1).model
         part = predict(model, test, ["qymc"], "p")
         parts = part if parts is None else parts.unionByName(part)
     target1 = bag_average(parts, ["qymc"], "p", "FORTARGET1")
     folded = stage(stratified_fold(train, ["qymc"], "is_chufa", settings.folds, 1), "folds-a")
-    model = fit_with_best_rounds(folded, FEATURES_A2, "is_chufa", "fold", settings.folds, settings.a2)
+    model = boost_with_best_rounds(folded, FEATURES_A2, "is_chufa", "fold", settings.folds, settings.a2).model
     return stage(target1.join(predict(model, test, ["qymc"], "FORTARGET2"), "qymc"), "scores-a")
 
 
 def _fold_models(train: DataFrame, features: Sequence[str], label: str, folds: int, trees: Trees) -> list[tuple]:
-    """One weighted, category-aware model per fold, with its validation AUC."""
+    """One weighted, category-aware model per fold, with its validation AUC, by which it was stopped."""
     categories = most_categories(train, [c for c in features if c in set(CATEGORICAL)])
-
-    def fit(fold: int) -> tuple:
-        held = train.filter(F.col("fold") == fold)
-        model = fit_with_patience(train.filter(F.col("fold") != fold), held, features, label, trees, weight="weight",
-                                  categorical=CATEGORICAL, max_categories=categories)
-        return model, auc_exact(predict(model, held, ["qymc", label], "p"), "p", label).head()["auc"]
-
-    return in_parallel(fit, folds)
+    found = boost_folds(train, features, label, "fold", folds, trees, weight="weight", categorical=CATEGORICAL,
+                        max_categories=categories)
+    return [(b.model, b.aucs[b.rounds - 1] if b.aucs and b.rounds else None) for b in found]
 
 
 def score_b(train: DataFrame, test: DataFrame, settings: Settings) -> DataFrame:
