@@ -8,6 +8,7 @@ from riskloom.functions.values import fill_missing
 from riskloom.operators.models import model_input
 from riskloom.operators.records import stack_sources
 from riskloom.session import staging_path
+from riskloom.sources.broken_lines import read_broken_csv
 from riskloom.sources.contracts import Contract
 from riskloom.sources.sinks import write_features, write_scores
 from riskloom.sources.tables import read_csv, read_name_list, read_scores, read_typed_csv
@@ -44,6 +45,21 @@ def scan_contract_csv(spark, sf_dir):
     return read_csv(spark, path, contract, multiline=False).select("qymc", "zsszdsf", "czbl", "hymldm")
 
 
+@query("""
+SELECT c_custkey, c_name || CASE WHEN c_custkey % 3 = 0 THEN chr(10) || 'second "line", of ' || c_mktsegment || chr(10) ELSE '' END AS note,
+       c_acctbal
+FROM customer
+""")
+def scan_broken_csv(spark, sf_dir):
+    """Every third record runs over three lines; files are split all the same."""
+    path = staging_path(spark, "broken-csv")
+    note = F.concat("c_name", F.when(F.col("c_custkey") % 3 == 0, F.concat(
+        F.lit('\nsecond "line", of '), "c_mktsegment", F.lit("\n"))).otherwise(F.lit("")))
+    table(spark, sf_dir, "customer").select("c_custkey", note.alias("note"), "c_acctbal") \
+        .write.option("header", True).option("escape", '"').option("ignoreTrailingWhiteSpace", False).csv(path)
+    return read_broken_csv(spark, path, True, "c_custkey bigint, note string, c_acctbal double").select("c_custkey", "note", "c_acctbal")
+
+
 @query("SELECT c_name AS qymc FROM customer")
 def scan_name_list(spark, sf_dir):
     """First column of a headerless file."""

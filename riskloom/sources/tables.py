@@ -10,6 +10,7 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskloom.operators.records import stack_sources
+from riskloom.sources.broken_lines import read_broken_csv
 from riskloom.sources.contracts import CONTRACTS, Contract
 
 # The columns that stand for file order, most significant first.
@@ -43,12 +44,17 @@ def _cell(name: str, kind: str):
     return text if kind == "string" else text.try_cast(kind)
 
 
+def _files(spark: SparkSession, path: str) -> dict[str, tuple[bool, bool]]:
+    """For each file with a line: whether some line has an odd number of quotes, and whether the file is split."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    files = spark.read.text(path).select(quotes.alias("quotes"), "_metadata.file_path", "_metadata.file_block_start") \
+        .groupBy("file_path").agg(F.max(F.col("quotes") % 2 == 1).alias("broken"), F.max("file_block_start").alias("start"))
+    return {row["file_path"]: (row["broken"], row["start"] > 0) for row in files.collect()}  # a row for each file
+
+
 def files_with_line_breaks(spark: SparkSession, path: str) -> dict[str, bool]:
     """For each file with a line whether a quoted cell may run over a line break: some line has an odd number of quotes."""
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    files = spark.read.text(path).select(quotes.alias("quotes"), "_metadata.file_path") \
-        .groupBy("file_path").agg(F.max(F.col("quotes") % 2 == 1).alias("broken"))
-    return {row["file_path"]: row["broken"] for row in files.collect()}  # a row for each file
+    return {name: broken for name, (broken, _) in _files(spark, path).items()}
 
 
 def _literal(uri: str) -> str:
@@ -57,19 +63,20 @@ def _literal(uri: str) -> str:
 
 
 def _per_file(spark: SparkSession, path: str, multiline: bool | None,
-              read: Callable[[str | list[str], bool], DataFrame]) -> DataFrame:
+              read: Callable[[str | list[str], bool | None], DataFrame]) -> DataFrame:
     """``read(paths, multiline)`` of the files with line breaks and of all others, put together.
 
-    A file with quoted line breaks is read in one task, any other is split.
-    Unless ``multiline`` says which, the lines are scanned first, in parallel.
+    Unless ``multiline`` says which have quoted line breaks, the lines are scanned first, in parallel. Files
+    without any are read line by line. Of the others, those of a single split are one task in any case; ``read`` is
+    told ``None`` for larger ones, whose blocks are read by a task each.
     """
     if multiline is not None:
         return read(path, multiline)
-    files = files_with_line_breaks(spark, path)
-    if len(set(files.values())) < 2:
-        return read(path, any(files.values()))
-    parts = [read(sorted(_literal(name) for name, broken in files.items() if broken == lines), lines)
-             for lines in (False, True)]
+    kinds = {name: (None if split else True) if broken else False for name, (broken, split) in _files(spark, path).items()}
+    if len(set(kinds.values())) < 2:
+        return read(path, next(iter(kinds.values()), False))
+    parts = [read(sorted(_literal(name) for name, kind in kinds.items() if kind is lines), lines)
+             for lines in (False, True, None) if lines in kinds.values()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
@@ -77,16 +84,17 @@ def read_csv(spark: SparkSession, path: str, contract: Contract, multiline: bool
     """One raw file (or folder of files) under its contract.
 
     Columns are found by header, so their order in the file does not matter.
-    Quoted line breaks need ``multiline``, which reads each file in one task;
-    by default only files that have some are read that way.
+    Quoted line breaks are looked for, and large files that have some are read in parallel; ``multiline`` leaves
+    them to Spark's own reader, which takes one task a file.
     """
-    def read(paths: str | list[str], lines: bool) -> DataFrame:
-        raw = _csv(spark, lines).option("header", True).csv(paths)
+    def read(paths: str | list[str], lines: bool | None) -> DataFrame:
+        raw = read_broken_csv(spark, paths, True) if lines is None else _with_order(
+            _csv(spark, lines).option("header", True).csv(paths))
         present = {name.lstrip("\ufeff"): name for name in raw.columns}
         if "企业名称" not in present:
             raise ValueError(f"{path}: no column 企业名称")
         kept = [(present[header], alias) for header, alias in contract.names.items() if header in present]
-        return _with_order(raw).select(
+        return raw.select(
             *[_cell(name, "double" if alias in contract.numbers else "string").alias(alias) for name, alias in kept],
             "_file", "_block", "_row")
 
@@ -96,14 +104,18 @@ def read_csv(spark: SparkSession, path: str, contract: Contract, multiline: bool
 def read_typed_csv(spark: SparkSession, path: str, schema: str, header: bool = True,
                    multiline: bool | None = None) -> DataFrame:
     """A CSV with a declared schema; nothing is inferred."""
-    return _per_file(spark, path, multiline, lambda paths, lines: _csv(spark, lines).option(
-        "header", header).schema(schema).csv(paths))
+    def read(paths: str | list[str], lines: bool | None) -> DataFrame:
+        if lines is None:
+            return read_broken_csv(spark, paths, header, schema).drop("_file", "_block", "_row")
+        return _csv(spark, lines).option("header", header).schema(schema).csv(paths)
+
+    return _per_file(spark, path, multiline, read)
 
 
 def read_name_list(spark: SparkSession, path: str, name: str = "qymc", multiline: bool | None = None) -> DataFrame:
     """The first column of a headerless file, such as a bare list of names."""
-    def read(paths: str | list[str], lines: bool) -> DataFrame:
-        raw = _csv(spark, lines).option("header", False).csv(paths)
+    def read(paths: str | list[str], lines: bool | None) -> DataFrame:
+        raw = read_broken_csv(spark, paths, False) if lines is None else _csv(spark, lines).option("header", False).csv(paths)
         return raw.select(_cell(raw.columns[0], "string").alias(name))
 
     return _per_file(spark, path, multiline, read)

@@ -3,8 +3,11 @@
 import csv
 
 import pytest
+from pyspark.sql import functions as F
 
 from riskloom.operators.records import first_record
+from riskloom.session import stage
+from riskloom.sources.broken_lines import read_broken_csv
 from riskloom.sources.contracts import CONTRACTS, Contract
 from riskloom.sources.sinks import write_features, write_scores, write_tables
 from riskloom.sources.tables import (
@@ -92,3 +95,65 @@ def test_only_files_with_line_breaks_are_read_whole(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert len(rows) == 2002 and rows["b1"] == "one\ntwo" and rows["b2"] == "three"
     assert names == {*rows, "k"}
+
+
+def written_csv(path, rows, newline="\n"):
+    with open(path, "w", newline="", encoding="utf-8") as handle:
+        csv.writer(handle, lineterminator=newline).writerows(rows)
+
+
+@pytest.mark.parametrize("newline", ["\n", "\r\n"])
+@pytest.mark.parametrize("size", [64, 700, 100_000])
+def test_quoted_line_breaks_are_read_in_blocks_of_any_size(spark, tmp_path, size, newline):
+    """Cells longer than a block, quotes in and at the ends of cells, blank lines, and what a plain reader gives."""
+    rows = [["k", "v", "w"]]
+    for i in range(300):
+        odd = ["x", f"a{newline}b", 'say ""', '"', "", f"{newline}{newline}", 'q" in the middle', f'",{newline}"', "y" * 90 + newline + "z" * 90,
+               f"tail{newline}", "comma, here", "é日本"][i % 12]
+        rows.append([f"r{i}", odd, "" if i % 5 else f"w{i}"])
+    written_csv(tmp_path / "t.csv", rows, newline)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    try:
+        found = read_broken_csv(spark, str(tmp_path / "t.csv"), True)
+        got = [(r["k"], r["v"], r["w"]) for r in found.sort("_file", "_block", "_row").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    whole = spark.read.option("multiLine", True).option("header", True).option("quote", '"').option("escape", '"').csv(str(tmp_path / "t.csv"))
+    assert got == [tuple(r) for r in whole.collect()]
+    assert len(got) == 300
+
+
+def test_quotes_inside_plain_cells_do_not_open_a_cell(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('k,v\na,5" pipe\nb,"one\ntwo"\nc,say "x" and "\nd,"e""f"\n\n   \ng,h\n')
+    found = read_broken_csv(spark, str(tmp_path / "t.csv"), True).sort("_block", "_row").collect()
+    assert [(r["k"], r["v"]) for r in found] == [("a", '5" pipe'), ("b", "one\ntwo"), ("c", 'say "x" and "'), ("d", 'e"f'), ("g", "h")]
+
+
+def test_a_large_file_with_one_broken_cell_is_read_by_many_tasks(spark, tmp_path):
+    rows = [["k", "v"]] + [[f"r{i}", "x" * 90] for i in range(40_000)]
+    rows[20_000][1] = "one\ntwo, \"three\"\n\nfour"
+    written_csv(tmp_path / "t.csv", rows)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+    try:
+        found = stage(read_broken_csv(spark, str(tmp_path / "t.csv"), True).withColumn("task", F.spark_partition_id()), "broken")
+        sizes = [r["count"] for r in found.groupBy("task").count().collect()]
+        blocks = found.groupBy("_block").count().count()
+        got = [(r["k"], r["v"]) for r in found.sort("_block", "_row").collect()]
+        typed = read_typed_csv(spark, str(tmp_path / "t.csv"), "k string, v string").count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == [tuple(r) for r in rows[1:]] and typed == 40_000
+    assert blocks > 30 and len(sizes) > 8 and max(sizes) < 10_000
+
+
+def test_broken_files_without_header_and_empty_ones(spark, tmp_path):
+    (tmp_path / "n.csv").write_text('\ufeff"甲\n乙",1\n丙,2\n', encoding="utf-8")
+    named = read_broken_csv(spark, str(tmp_path / "n.csv"), False).sort("_block", "_row").collect()
+    assert [r["_c0"] for r in named] == ["甲\n乙", "丙"]
+    (tmp_path / "e.csv").write_text("")
+    assert read_broken_csv(spark, str(tmp_path / "e.csv"), True).collect() == []
+    (tmp_path / "open.csv").write_text('k,v\na,b\nc,"never closed\nd,e\n')
+    rows = read_broken_csv(spark, str(tmp_path / "open.csv"), True).sort("_block", "_row").collect()
+    assert [r["k"] for r in rows] == ["a", "c"]
