@@ -1,10 +1,12 @@
 """Reports."""
 
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
 from riskloom.checks import query, table
 from riskloom.operators.profile import (
-    class_balance, distinct_values, key_overlap, profile_columns, same_meaning, table_coverage, target_rate,
+    class_balance, discover_same_meaning, distinct_values, key_overlap, profile_columns, same_meaning, table_coverage, target_rate,
     uninformative)
 
 
@@ -145,3 +147,20 @@ def table_sizes(spark, sf_dir):
     return table(spark, sf_dir, "orders").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_distinct("o_custkey").alias("n_entities"),
         F.round(F.avg("o_totalprice"), 6).alias("mean_price"))
+
+
+# All columns, the planted renamings among them.
+RENAMED = {"segment_initial": "substr(c_mktsegment, 1, 2)", "nation_text": "concat('N', c_nationkey)",
+           "known_nation": "CASE WHEN c_nationkey = 3 THEN NULL ELSE c_nationkey END", "half_key": "c_custkey % 50"}
+COLUMNS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment", *RENAMED]
+
+
+@query("WITH c AS (SELECT *, " + ", ".join(f"{e} AS {n}" for n, e in RENAMED.items()) + " FROM customer)" + "\nUNION ALL".join(
+    f"""
+SELECT '{min(a, b)}' AS "left", '{max(a, b)}' AS "right" FROM (
+    SELECT count(DISTINCT (struct_pack(x := {a}), struct_pack(x := {b}))) AS n, count(DISTINCT struct_pack(x := {a})) AS n_a,
+           count(DISTINCT struct_pack(x := {b})) AS n_b FROM c) WHERE n = n_a AND n = n_b AND n > 1""" for a, b in combinations(COLUMNS, 2)))
+def discovered_same_meaning(spark, sf_dir):
+    """Every pair of columns that name each other one to one, without being told where to look."""
+    customers = table(spark, sf_dir, "customer").select("*", *[F.expr(e).alias(n) for n, e in RENAMED.items()])
+    return discover_same_meaning(customers, COLUMNS)

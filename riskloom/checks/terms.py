@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from riskloom.checks import query, table
 from riskloom.functions.text import HAN, tokenize, user_tokenizer
+from riskloom.operators.segments import with_best_path
 from riskloom.operators.terms import (
     VECTOR_SIZE, document_vectors, fit_word_vectors, term_frequencies, term_indicators, top_terms)
 from riskloom.plans.stacking import term_stacking
@@ -129,3 +130,29 @@ def term_stacking_rule(spark, sf_dir):
         F.array_contains(tokenize(F.col("jyfw")), tenth).cast("double").alias("label"))
     scored = term_stacking(rows, "label", "score", terms=10)
     return scored.select("split", "qymc", (F.col("score") > 0.5).cast("int").alias("predicted"))
+
+
+# A fixed lexicon with costs, in which words overlap; a letter that is no word costs 10.
+COSTS = {"economy": 5, "eco": 2, "nomy": 2, "promo": 4, "pro": 2, "mo": 1, "standard": 5, "stand": 2, "medium": 4, "small": 3, "large": 3,
+         "cold": 3, "hot": 3, "col": 1, "dw": 3, "widget": 4, "wid": 2, "get": 1, "bolt": 3, "old": 2, "idg": 1, "gear": 3, "ear": 1}
+LONGEST_COST = max(map(len, COSTS))
+
+
+@query(f"""
+WITH RECURSIVE texts AS (
+    SELECT DISTINCT lower(p_type) || replace(lower(p_name), ' ', '') AS text FROM part),
+walk AS (
+    SELECT text, 0 AS pos, [0::BIGINT] AS costs FROM texts
+    UNION ALL
+    SELECT text, pos + 1, list_append(costs, list_min(list_transform(range(1, least({LONGEST_COST}, pos + 1) + 1), lambda n:
+        costs[pos + 2 - n] + coalesce(MAP {{{', '.join(f"'{w}': {c}" for w, c in COSTS.items())}}}[substr(text, pos + 2 - n, n)],
+                                      CASE WHEN n = 1 THEN 10 END))))
+    FROM walk WHERE pos < length(text))
+SELECT p_partkey, text AS joined, CAST(costs[-1] AS DOUBLE) AS cost
+FROM part JOIN walk ON text = lower(p_type) || replace(lower(p_name), ' ', '') AND pos = length(text)
+""")
+def segment_best_path(spark, sf_dir):
+    """Unspaced names cut by a lexicon: the cheapest path, and its words put together again."""
+    rows = table(spark, sf_dir, "part").select("p_partkey", F.concat(
+        F.lower("p_type"), F.replace(F.lower("p_name"), F.lit(" "), F.lit(""))).alias("text"))
+    return with_best_path(rows, "text", COSTS, unknown=10).select("p_partkey", F.array_join("words", "").alias("joined"), "cost")

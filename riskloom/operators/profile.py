@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -63,6 +64,40 @@ def same_meaning(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     return counts.select("left", "right", F.when(same, 1).otherwise(0).alias("is_same"))
 
 
+def discover_same_meaning(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """``left, right``: all pairs of columns that name each other one to one, nulls included, left before right.
+
+    Two such columns part the rows into the same groups. Each row gets a hash, each group of equal values the
+    sum of its rows' hashes, and each column a sum over its groups, in whatever order: one pass over the melted
+    table, combined in the map tasks, for any number of columns. Only columns with equal sums, one row each, are
+    compared on their values. Columns of a single value are left out: they say nothing. An empty table has no pairs.
+    """
+    columns = list(columns or df.columns)
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)")
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value")) for c in columns]))
+    groups = df.select(row.alias("row"), cells.alias("cell")).groupBy("cell.column", "cell.value").agg(
+        F.sum("row").alias("sum"), F.count(F.lit(1)).alias("n"))
+    mark = F.xxhash64(F.col("sum").cast("string"), "n").cast("decimal(38,0)")
+    signatures = groups.groupBy("column").agg(F.sum(mark).alias("sum"), F.count(F.lit(1)).alias("n_groups")) \
+        .filter("n_groups > 1").collect()  # a row for each column
+    alike: dict[tuple, list[str]] = {}
+    for signature in signatures:
+        alike.setdefault((signature["sum"], signature["n_groups"]), []).append(signature["column"])
+    known = []
+    for names in alike.values():
+        for other in names[1:]:
+            # One pair for each further column of a set: being one to one carries over.
+            pairs = df.select(F.struct(F.col(f"`{names[0]}`")).alias("a"), F.struct(F.col(f"`{other}`")).alias("b")).distinct()
+            found = pairs.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("a").alias("a"), F.count_distinct("b").alias("b")).head()
+            if found["n"] == found["a"] == found["b"]:
+                known.append((names[0], other))
+    joined: dict[str, list[str]] = {}
+    for first, other in known:
+        joined.setdefault(first, [first]).append(other)
+    out = [tuple(sorted(pair)) for names in joined.values() for pair in combinations(names, 2)]
+    return df.sparkSession.createDataFrame(sorted(out), "left string, right string")
+
+
 def _presence(tables: Mapping[str, DataFrame], key: Sequence[str]) -> DataFrame:
     """One row per key with one 0/1 column per table it occurs in."""
     tagged = [with_key(df, key).select(*key, F.lit(name).alias("_table")) for name, df in tables.items()]
