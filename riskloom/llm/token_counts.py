@@ -8,9 +8,9 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame
 
-from riskloom.llm.texts import SURE_BORDER, UNUSUAL_SPACE, Memo, arrow_map, by_size, id_and_text, segments
+from riskloom.llm.texts import SURE_BORDER, UNUSUAL_SPACE, Memo, arrow_map, by_size, byte_size, id_and_text, segments
 
-#: Characters of one call to the library.
+#: Bytes of one call to the library, and characters of a part of a long text.
 BATCH_CHARS = 1 << 20
 #: Distinct pieces whose count a worker remembers.
 MEMO_PIECES = 300_000
@@ -73,13 +73,13 @@ def token_counts(docs: DataFrame, path: str, limit: int = 1024, id_col: str = "d
     A null or empty text has no bytes and no tokens. Repeated rows are counted
     again, an empty table gives no rows. Texts travel once to the Arrow
     function, only lengths come back. A long text is cut into pieces at places
-    where the tokenizer cuts anyway and is never encoded in one call; calls
-    are balanced by size.
+    where the tokenizer cuts anyway (before white space, and before the stops of Han text); calls
+    are balanced by bytes. A text without any such place is one call.
     """
 
     def rows(ids, texts):
         counts = count_tokens(texts, path)
-        return {"doc_id": ids, "n_bytes": [len(t.encode()) for t in texts], "n_tokens": counts,
+        return {"doc_id": ids, "n_bytes": [byte_size(t) for t in texts], "n_tokens": counts,
                 "over_limit": [n > limit for n in counts]}
 
     kind = dict(docs.dtypes)[id_col]

@@ -16,7 +16,7 @@ import corpus_pipeline
 from riskloom.llm import (
     bpe, chosen_path, exact_dedup, fingerprints, language, line_dedup, merges, packing, pii, queries, texts, token_counts, urls)
 
-WORDS = public_tokenizers.path("word_bpe_49k.json")
+BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 KEY = "a key for tests"
 
 
@@ -193,6 +193,22 @@ def test_pieces_that_are_forgotten_come_back(monkeypatch):
     assert len(store.rows) < 4000 and len(store.rows) == len(store.starts) == len(store.sizes) == len(store.used)
 
 
+def test_long_text_of_another_script_is_cut_and_calls_are_balanced_by_bytes(monkeypatch):
+    long = "天地人，日月。" * 20_000 + "a b🙂c d" * 1000
+    parts = list(texts.segments(long, 1000))
+    assert len(parts) > 100 and "".join(parts) == long and max(map(len, parts)) < 1100
+    groups = list(texts.by_size(["日" * 100] * 50 + ["a" * 100] * 50, 1000))
+    assert max(sum(map(texts.byte_size, g)) for g in groups) <= 1000 and [len(g) for g in groups[:2]] == [3, 3]
+    library, data = token_counts.load_tokenizer(BYTES), long[:30_000] + long[-3000:]
+    monkeypatch.setattr(token_counts, "BATCH_CHARS", 500)
+    assert token_counts.count_tokens([data], BYTES) == [len(library.encode(data, add_special_tokens=False).ids)]
+    monkeypatch.setattr(packing, "BATCH_CHARS", 500)
+    monkeypatch.setattr(bpe, "BATCH_CHARS", 500)
+    wanted = token_counts.load_tokenizer(WORDS).encode(data, add_special_tokens=False).ids
+    assert np.frombuffer(packing.encode_texts([data], WORDS)[0], "<u4").tolist() == wanted
+    assert np.frombuffer(bpe.WordBpe(WORDS).encode([data])[0], "<u4").tolist() == wanted
+
+
 def test_memo_keeps_what_is_asked_for_again():
     memo, asked = texts.Memo(10), []
 
