@@ -34,7 +34,7 @@ def text_digest(text):
 
 
 def heavy_digests(digests: DataFrame, counters: int = HEAVY_COUNTERS, kept: int = HEAVY_KEPT) -> DataFrame:
-    """``(text_sha256, heavy_id, heavy_size)`` of the frequent digests, exactly counted.
+    """``(text_sha256, heavy, heavy_size)`` of the frequent digests, exactly counted; ``heavy`` is the row that stays.
 
     A Misra-Gries summary (Spark's frequent-items sketch keeps decrementing
     counters and is merged from the partitions) proposes at most ``kept``
@@ -44,8 +44,9 @@ def heavy_digests(digests: DataFrame, counters: int = HEAVY_COUNTERS, kept: int
     """
     proposed = digests.select(F.expr(f"approx_top_k(text_sha256, {kept}, {counters})").alias("top")) \
         .select(F.explode("top.item").alias("text_sha256"))
+    # The largest struct has the largest id; a null id is smaller than any.
     return digests.join(F.broadcast(proposed), "text_sha256", "left_semi").groupBy("text_sha256").agg(
-        F.max("doc_id").alias("heavy_id"), F.count(F.lit(1)).alias("heavy_size")).filter("heavy_size > 1")
+        F.max(F.struct("doc_id", "row")).alias("heavy"), F.count(F.lit(1)).alias("heavy_size")).filter("heavy_size > 1")
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -56,27 +57,23 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     largest ``doc_id`` stays (null ids are smallest). Of rows repeated with the
     same id and text exactly one has ``kept``; an empty table gives no rows.
 
-    Digests are written once, so every text is read and hashed once. Rows of
-    frequent digests that lose to the broadcast winner are decided in the map
-    task; they never enter the shuffle. The others, with the winners
-    themselves, meet by digest.
+    Digests are written once, each with a number of its own that tells repeated rows apart, so every text is
+    read and hashed once. All rows of frequent digests are decided in the map task against the broadcast
+    winner, however many have one id or none; they never enter the shuffle. The others meet by digest.
     """
-    digests = stage(docs.select(F.col(id_col).alias("doc_id"), text_digest(F.col(text_col)).alias("text_sha256")),
-                    "digests")
+    digests = stage(docs.select(F.col(id_col).alias("doc_id"), text_digest(F.col(text_col)).alias("text_sha256"),
+                                F.monotonically_increasing_id().alias("row")), "digests")
     heavy = stage(heavy_digests(digests), "heavy")
     marked = digests.join(F.broadcast(heavy), "text_sha256", "left")
-    loses = F.col("heavy_size").isNotNull() & F.col("heavy_id").isNotNull() & (
-        F.col("doc_id").isNull() | (F.col("doc_id") < F.col("heavy_id")))
-    removed = marked.filter(loses).select(
-        "doc_id", F.col("heavy_id").alias("keep_id"), F.col("heavy_size").alias("group_size"),
-        F.lit(False).alias("kept"), "text_sha256")
+    decided = marked.filter("heavy_size IS NOT NULL").select(
+        "doc_id", F.col("heavy.doc_id").alias("keep_id"), F.col("heavy_size").alias("group_size"),
+        (F.col("row") == F.col("heavy.row")).alias("kept"), "text_sha256")
     group = Window.partitionBy("text_sha256")
-    newest = group.orderBy(F.col("doc_id").desc_nulls_last())
-    met = marked.filter(~loses).select(
-        "doc_id", F.max("doc_id").over(group).alias("keep_id"),
-        F.coalesce("heavy_size", F.count(F.lit(1)).over(group)).alias("group_size"),
+    newest = group.orderBy(F.col("doc_id").desc_nulls_last(), F.col("row").desc())
+    met = marked.filter("heavy_size IS NULL").select(
+        "doc_id", F.max("doc_id").over(group).alias("keep_id"), F.count(F.lit(1)).over(group).alias("group_size"),
         (F.row_number().over(newest) == 1).alias("kept"), "text_sha256")
-    return removed.unionByName(met)
+    return decided.unionByName(met)
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

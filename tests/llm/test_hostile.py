@@ -428,3 +428,21 @@ def test_exact_and_near_duplicates_keep_columns_of_their_own_names(spark, clashi
         assert after.columns == clashing.columns
         assert {tuple(r)[5:] for r in after.collect()} == {tuple(r)[5:] for r in clashing.collect()}
         assert gone is None or after.count() == clashing.count() - gone
+
+
+def test_a_third_of_all_rows_without_id_and_with_one_text(spark):
+    rows = [(None, "Hot text")] * 1500 + [(i, f"text {i % 2000}") for i in range(3000)] + [(77, "again")] * 400 + [(i, "HOT TEXT") for i in (5, 9)]
+    found = exact_dedup.exact_duplicates(docs(spark, rows))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window") == 2 and "isnull(heavy_size" in plan
+    rows_of = found.collect()
+    groups = {}
+    for r in rows_of:
+        groups.setdefault(r["text_sha256"], []).append(r)
+    assert len(rows_of) == len(rows)
+    for own in groups.values():
+        ids = [r["doc_id"] for r in own if r["doc_id"] is not None]
+        assert {r["group_size"] for r in own} == {len(own)} and sum(r["kept"] for r in own) == 1
+        assert {r["keep_id"] for r in own} == {max(ids, default=None)}
+        assert [r["doc_id"] for r in own if r["kept"]] == [max(ids, default=None)]
+    assert exact_dedup.drop_exact_duplicates(docs(spark, rows)).count() == len(groups)
