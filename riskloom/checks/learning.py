@@ -6,7 +6,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from riskloom.checks import query, table
-from riskloom.operators.boosting import Booster, boost, boost_folds, split_counts
+from riskloom.operators.boosting import GRIDS, Booster, boost, boost_folds, search_grids, split_counts
 from riskloom.operators.encode import ordinal_encode
 from riskloom.operators.models import (
     Trees, feature_importances, fit_with_best_rounds, fit_with_patience, load_tree_model, model_input, most_categories,
@@ -226,3 +226,14 @@ def boost_fold_models(spark, sf_dir):
                          max_categories=CODES)
     parts = [predict(m.model, rows.filter(F.col("fold") == i), ["o_orderkey"], "score") for i, m in enumerate(models)]
     return predicted_class(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(
+    f"('{name}', CAST({value} AS DOUBLE), {1 if name != 'min_gain' or value <= 1 else 0})"
+    for name, values in GRIDS.items() for value in values) + ") AS t (parameter, value, learns)")
+def boost_grid_search(spark, sf_dir):
+    """All grids, one round a value: only a least gain beyond what the one split gains keeps a model from learning."""
+    rows = parity_rows(spark, sf_dir).withColumn("fold", F.col("fold").cast("int") % 2)
+    found = search_grids(rows, PARITY_FEATURES, "label", "fold", 2, replace(PARITY, rounds=1),
+                         categorical=PARITY_FEATURES[:1], max_categories=CODES)
+    return found.select("parameter", "value", (F.col("auc") > 0.99).cast("int").alias("learns"))

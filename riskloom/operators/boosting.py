@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
-from dataclasses import dataclass, field
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -46,8 +46,14 @@ class Booster:
     """
 
     def __init__(self, train: DataFrame, features: Sequence[str], label: str, trees: Trees, weight: str | None = None,
-                 categorical: Sequence[str] = (), max_categories: int = 0, start: PipelineModel | None = None):
+                 categorical: Sequence[str] = (), max_categories: int = 0, start: PipelineModel | None = None,
+                 prepared: tuple[list, DataFrame] | None = None):
+        """``prepared`` are the stages and the written rows (``y, w, features, margin``) of a booster without trees."""
         self.settings, self.label, self.max_categories = trees, label, max_categories
+        self.pending: list[DecisionTreeRegressionModel] = []
+        if prepared:
+            (self.assembly, self.rows), self.trees = prepared, []
+            return
         self.assembly = start.stages[:-1] if start else Pipeline(stages=_assembly(features, categorical, max_categories)).fit(train).stages
         self.trees: list[DecisionTreeRegressionModel] = list(start.stages[-1].trees) if start else []
         own = F.col(weight).cast("double") if weight else F.lit(1.0)
@@ -65,8 +71,11 @@ class Booster:
             .drop(*(f"_tree{at}" for at in range(len(self.trees))))
 
     def advance(self, rounds: int) -> list[DecisionTreeRegressionModel]:
-        """So many more rounds; returns their trees."""
+        """So many more rounds; returns their trees. Margins under the trees of the call before are written first."""
         s, new = self.settings, []
+        if self.pending:
+            raised = _with_trees(self.rows, self.pending).withColumn("margin", _raised(F.col("margin"), self.pending, s.step))
+            self.rows = stage(raised.select("y", "w", "features", "margin"), "boosted")
         for _ in range(rounds):
             margin = _raised(F.col("margin"), new, s.step)
             p = 1 / (1 + F.exp(-margin))
@@ -79,8 +88,7 @@ class Booster:
                 subsamplingRate=s.rows_share, seed=s.seed + len(self.trees) + len(new),
                 featureSubsetStrategy=str(s.columns_share) if s.columns_share < 1 else "all")
             new.append(forest.fit(rows).trees[0])
-        raised = _with_trees(self.rows, new).withColumn("margin", _raised(F.col("margin"), new, s.step))
-        self.rows = stage(raised.select("y", "w", "features", "margin"), "boosted")
+        self.pending = new
         self.trees += new
         return new
 
@@ -102,21 +110,24 @@ class Booster:
 class Watch:
     """Held-out rows of a booster: their margins go up with its trees."""
 
-    def __init__(self, booster: Booster, held: DataFrame, group: Column | None = None):
-        self.booster = booster
+    def __init__(self, booster: Booster, held: DataFrame, group: Column | None = None, prepared: bool = False):
+        self.booster, self.pending = booster, []
+        if prepared:
+            self.rows = held.select("y", "features", "margin", group.alias("part"))
+            return
         self.rows = stage(booster.started(held).select(
             F.col(booster.label).cast("double").alias("y"), "features", "margin", (F.lit(0) if group is None else group).alias("part")), "held")
 
     def follow(self, trees: Sequence[DecisionTreeRegressionModel]) -> DataFrame:
-        """``part, round, score, y``: every row after each of the new trees; the last margin is kept."""
-        step, names = self.booster.settings.step, [f"_margin{at}" for at in range(len(trees))]
-        raised = _with_trees(self.rows, trees)
-        raised = raised.select("y", "features", "part", *[
-            _raised(F.col("margin"), trees[:at + 1], step).alias(name) for at, name in enumerate(names)])
-        written = stage(raised, "held")
-        self.rows = written.select("y", "features", "part", F.col(names[-1]).alias("margin"))
-        each = F.explode(F.array(*[F.struct(F.lit(at).alias("round"), F.col(name).alias("score")) for at, name in enumerate(names)]))
-        return written.select("part", "y", each.alias("e")).select("part", "e.round", "e.score", "y")
+        """``part, round, score, y``: every row after each of the new trees. Margins under the trees before are written first."""
+        step = self.booster.settings.step
+        if self.pending:
+            raised = _with_trees(self.rows, self.pending).withColumn("margin", _raised(F.col("margin"), self.pending, step))
+            self.rows = stage(raised.select("y", "features", "margin", "part"), "held")
+        self.pending = list(trees)
+        each = F.explode(F.array(*[F.struct(F.lit(at).alias("round"), _raised(F.col("margin"), trees[:at + 1], step).alias("score"))
+                                   for at in range(len(trees))]))
+        return _with_trees(self.rows, trees).select("part", "y", each.alias("e")).select("part", "e.round", "e.score", "y")
 
 
 @dataclass
@@ -208,6 +219,63 @@ def boost_with_best_rounds(df: DataFrame, features: Sequence[str], label: str, f
     return Boosted(whole.model(), rounds, len(aucs), aucs)
 
 
+# The grids of the parameters that Spark's trees have too. Two more, an L2 term of the
+# leaves and a bound of a leaf's step, have no counterpart.
+GRIDS = {
+    "min_gain": (0, 0.01, 0.05, 0.1, 0.5, 1, 5, 10, 50, 100),
+    "min_rows": (1, 2, 3, 4, 5, 6, 7, 8, 9),
+    "rows_share": (1.0, 0.95, 0.9, 0.85, 0.8, 0.75, 0.7, 0.65),
+    "columns_share": (1.0, 0.95, 0.9, 0.85, 0.8, 0.75, 0.7, 0.65, 0.6, 0.55),
+}
+
+
+def search_grids(df: DataFrame, features: Sequence[str], label: str, fold: str, folds: int, trees: Trees,
+                 grids: Mapping[str, Sequence] = GRIDS, first: int = BLOCK, finalists: int = 3, weight: str | None = None,
+                 categorical: Sequence[str] = (), max_categories: int = 0) -> DataFrame:
+    """``parameter, value, rounds, auc``: each parameter of ``Trees`` varied alone, by the mean AUC over the folds.
+
+    Rows are assembled and written once for all fits. All values train ``first`` rounds side by side, and one ordering gives
+    all their AUCs; those behind the best ``finalists`` of their parameter (ties stay in) stop there, the others
+    go on to ``trees.rounds`` and are compared anew. ``rounds`` tells what an AUC stands for. One row for each value.
+    """
+    assembly = Pipeline(stages=_assembly(features, categorical, max_categories)).fit(df).stages
+    own = F.col(weight).cast("double") if weight else F.lit(1.0)
+    rows = stage(PipelineModel(assembly).transform(df).select(
+        F.col(label).cast("double").alias("y"), own.alias("w"), "features", F.lit(0.0).alias("margin"), F.col(fold).alias("fold")), "grid-rows")
+    tried = [(name, value) for name, values in grids.items() for value in values]
+    boosters, watches = [], []
+    for at, (name, value) in enumerate(tried):
+        for i in range(folds):
+            booster = Booster(df, features, label, replace(trees, **{name: value}), max_categories=max_categories,
+                              prepared=(assembly, rows.filter(F.col("fold") != i).drop("fold")))
+            boosters.append(booster)
+            watches.append(Watch(booster, rows.filter(F.col("fold") == i), F.lit(at * folds + i), prepared=True))
+
+    def trained(chosen: Sequence[int], n: int) -> dict[int, float]:
+        parts = [at * folds + i for at in chosen for i in range(folds)]
+        followed = in_parallel(lambda k: watches[parts[k]].follow(boosters[parts[k]].advance(n)), len(parts))
+        last = [scores.filter(F.col("round") == n - 1) for scores in followed]
+        found = {(r["part"]): r["auc"] for r in auc_by_group(reduce(DataFrame.unionByName, last), ["part"], "score", "y").collect()}
+        return {at: sum(found.get(at * folds + i) or 0.5 for i in range(folds)) / folds for at in chosen}
+
+    first = min(first, trees.rounds)
+    aucs = trained(range(len(tried)), first)
+    rounds = dict.fromkeys(aucs, first)
+    going: list[int] = []
+    for name in grids:
+        own_values = [at for at in aucs if tried[at][0] == name]
+        least = sorted((aucs[at] for at in own_values), reverse=True)[min(finalists, len(own_values)) - 1]
+        going += [at for at in own_values if aucs[at] >= least]
+    left = trees.rounds - first
+    while going and left > 0:
+        aucs |= trained(going, n := min(BLOCK, left))
+        left -= n
+        rounds |= {at: trees.rounds - left for at in going}
+    return df.sparkSession.createDataFrame(
+        [(name, float(value), rounds[at], aucs[at]) for at, (name, value) in enumerate(tried)],
+        "parameter string, value double, rounds int, auc double")
+
+
 def model_nodes(model: PipelineModel, spark: SparkSession) -> DataFrame:
     """``tree, node, prediction, gain, left, right, feature`` of every node of a tree ensemble; leaves have no feature.
 
