@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from riskloom.llm.components import components
 from riskloom.llm.fingerprints import mix
 from riskloom.llm.shingles import WORDS, sampled_tokens, sequence_digest, shingle_hashes, word_hashes
-from riskloom.llm.texts import arrow_map, fresh, id_and_text
+from riskloom.llm.texts import arrow_map, fresh, hash_value, id_and_text, parted_by
 from riskloom.session import stage
 
 SIMILARITY = 0.8
@@ -26,9 +26,6 @@ DEPTH, RECALL = 3, 0.999
 #: Sets that are compared with each other at once; and shingles held at once.
 #: Larger buckets and groups are compared exactly too, block by block.
 SMALL, HELD = 512, 2_000_000
-#: Texts that are wanted are told from the others by this many values of a hash, which all tasks
-#: get to know: 8 bytes each, however many texts there are.
-MARK_VALUES = 1 << 22
 
 
 def runs_for(recall: float = RECALL, depth: int = DEPTH, similarity: float = SIMILARITY) -> int:
@@ -314,11 +311,9 @@ def _with_shingles(texts: DataFrame, wanted: DataFrame, words: int) -> DataFrame
     where they are read, so that they do not cross the network to be thrown away; the
     join by mark then decides. Of the copies of a text each task passes on one.
     """
-    value = F.pmod(F.xxhash64("mark"), F.lit(MARK_VALUES))
-    values = wanted.select(value.alias("value")).distinct()
-    marked = texts.select(text_mark(F.col("text")).alias("mark"), "text").withColumn("value", value)
-    joined = marked.join(F.broadcast(values), "value", "left_semi").join(wanted, "mark").select(
-        "text", "digest", "copies", "part", "blocks")
+    marked = texts.select(text_mark(F.col("text")).alias("mark"), "text").withColumn("value", hash_value("mark"))
+    likely, _ = parted_by(marked, "value", wanted.withColumn("value", hash_value("mark")))
+    joined = likely.join(wanted, "mark").select("text", "digest", "copies", "part", "blocks")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
@@ -340,15 +335,20 @@ def _with_shingles(texts: DataFrame, wanted: DataFrame, words: int) -> DataFrame
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
     """One row of ``docs`` for each class, with all its columns: that of the smallest id.
 
+    Only rows whose text may be that of a dropped row are moved.
     Rows are told apart by id and text, so another text with a dropped id stays
     and rows without an id (they come last) are dropped too. Only repeats of
     the chosen row, equal in id and text, stay with it.
     """
-    gone, mark = fresh("_dropped", docs.columns), fresh("_mark", docs.columns)
+    gone, mark, value = (fresh(name, docs.columns) for name in ("_dropped", "_mark", "_value"))
     found = stage(_classified(id_and_text(docs, id_col, text_col), **settings).filter("class_size > 1")
                   .select("root", "doc_id", "mark").distinct(), "near-classes")
     kept = found.groupBy("root").agg(F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "mark")).alias("kept"))
     dropped = found.join(kept, "root") \
         .filter(~(F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("mark") == F.col("kept.mark")))) \
         .select(F.col("doc_id").alias(gone), F.col("mark").alias(mark))
-    return docs.join(dropped, F.col(id_col).eqNullSafe(F.col(gone)) & (text_mark(F.col(text_col)) == F.col(mark)), "left_anti")
+    dropped = stage(dropped.withColumn(value, hash_value(mark)), "near-dropped")
+    doubtful, others = parted_by(docs.withColumn(value, hash_value(text_mark(F.col(text_col)))), value, dropped)
+    same = F.col(id_col).eqNullSafe(F.col(gone)) & (text_mark(F.col(text_col)) == F.col(mark))
+    kept = doubtful.join(dropped.drop(value), same, "left_anti")
+    return others.select(*docs.columns).unionByName(kept.select(*docs.columns))

@@ -7,7 +7,7 @@ import string
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.texts import fresh
+from riskloom.llm.texts import fresh, hash_value, parted_by
 from riskloom.session import stage
 
 #: Counters of the frequent-items summary. A digest in more than 1/HEAVY_COUNTERS
@@ -79,14 +79,19 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns.
 
-    A row that repeats an id together with its text is returned once.
+    A row that repeats an id together with its text is returned once. Only rows whose text may occur more than
+    once are moved.
     """
     def row_key(doc_id, digest):
         return F.concat_ws("|", doc_id.cast("string"), digest)
 
-    name = fresh("_row_key", docs.columns)
-    kept = exact_duplicates(docs, id_col, text_col).filter("kept").select(
-        row_key(F.col("doc_id"), F.col("text_sha256")).alias(name))
-    keyed = docs.withColumn(name, row_key(F.col(id_col), text_digest(F.col(text_col))))
+    name, value = fresh("_row_key", docs.columns), fresh("_value", docs.columns)
+    copies = exact_duplicates(docs, id_col, text_col).filter("group_size > 1").groupBy(
+        row_key(F.col("doc_id"), F.col("text_sha256")).alias(name), hash_value("text_sha256").alias(value)).agg(F.max("kept").alias("kept"))
+    copies = stage(copies, "copies")
+    digest = text_digest(F.col(text_col))
+    doubtful, others = parted_by(docs.withColumn(value, hash_value(digest)), value, copies)
     # The join leaves the rows by key, so dropping repeated ones needs no further shuffle.
-    return keyed.join(kept, name, "left_semi").dropDuplicates([name]).drop(name)
+    keyed = doubtful.withColumn(name, row_key(F.col(id_col), digest))
+    kept = keyed.join(copies.filter("NOT kept").select(name), name, "left_anti").dropDuplicates([name])
+    return others.select(*docs.columns).unionByName(kept.select(*docs.columns))

@@ -24,7 +24,7 @@ ROWS_PER_LANGUAGE, LANDMARKS_PER_LANGUAGE = 300, 40
 ROWS, LANDMARKS, LANGUAGES = 2_400, 240, 1_000
 RIDGE = 1e-2
 #: Rows whose feature lists are multiplied together.
-SCORED_ROWS = 64
+SCORED_ROWS = 32
 #: Characters whose n-grams are hashed at once.
 BLOCK = 1 << 18
 
@@ -107,12 +107,21 @@ class LandmarkModel(KernelModel):
     """Landmark texts and one column of coefficients for each language.
 
     ``columns`` are the n-gram columns that any landmark has, ascending; ``landmarks`` has a row for
-    each landmark: its presence there, over the root of its number of n-grams.
+    each landmark: its presence there, over the root of its number of n-grams. A model travels as
+    one bit for each of these numbers.
     """
 
     def __init__(self, languages: list[str], columns: np.ndarray, landmarks: np.ndarray, coefficients: np.ndarray):
         self.languages, self.columns, self.landmarks, self.coefficients = languages, columns, landmarks, coefficients
 
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "landmarks": np.packbits(self.landmarks > 0, axis=1), "size": self.landmarks.max(axis=1, initial=0)}
+
+    def __setstate__(self, state: dict) -> None:
+        bits, size = state.pop("landmarks"), state.pop("size")
+        self.__dict__.update(state)
+        self.landmarks = np.unpackbits(bits, axis=1, count=len(self.columns)).astype(np.float32) * size[:, None]
+
     def products(self, found: list[np.ndarray]) -> np.ndarray:
         """The kernel of the batch and the landmarks as one matrix product, times the coefficients."""
         present = np.zeros((len(found), len(self.columns)), np.float32)

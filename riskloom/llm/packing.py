@@ -31,7 +31,7 @@ UNIT = 4
 #: The program stops once it is proven to be this close to the optimum.
 GAP = 5e-4
 #: Distinct pieces of text whose ids a worker remembers, characters that are worked on together.
-MEMO_PIECES, BATCH_CHARS = 1_000_000, 1 << 22
+MEMO_PIECES, BATCH_CHARS = 500_000, 1 << 21
 
 
 # Documents to pieces.
@@ -198,7 +198,7 @@ def token_pieces(docs: DataFrame, path: str, end_id: int = 1, capacity: int = CA
 
     kind = dict(docs.dtypes)[id_col]
     return arrow_map(id_and_text(docs, id_col, text_col),
-                     f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long", rows, 2048)
+                     f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long", rows, 1024)
 
 
 # The linear program, over a histogram of some hundred classes.

@@ -55,6 +55,26 @@ def segments(text: str, limit: int) -> Iterator[str]:
     yield text[start:] if start else text
 
 
+#: A large table's rows are told from the few that may match by this many values of a hash, which all tasks get to
+#: know: 8 bytes each, however many rows there are.
+HASH_VALUES = 1 << 22
+
+
+def hash_value(column: Column | str) -> Column:
+    """One of ``HASH_VALUES`` numbers."""
+    return F.pmod(F.xxhash64(column), F.lit(HASH_VALUES))
+
+
+def parted_by(rows: DataFrame, value: str, few: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows whose ``value`` (a ``hash_value``) occurs in ``few``, and all others; nothing is moved for it.
+
+    Only the first need to be joined with whatever the values stand for; the others, nearly all while the few are few, stay where
+    they are read.
+    """
+    known = F.broadcast(few.select(F.col(value)).distinct())
+    return rows.join(known, value, "left_semi"), rows.join(known, value, "left_anti")
+
+
 def byte_size(text: str) -> int:
     """Bytes of the text in UTF-8."""
     return len(text) if text.isascii() else len(text.encode("utf-8", "surrogatepass"))
