@@ -120,7 +120,8 @@ class LandmarkModel(KernelModel):
     def __setstate__(self, state: dict) -> None:
         bits, size = state.pop("landmarks"), state.pop("size")
         self.__dict__.update(state)
-        self.landmarks = np.unpackbits(bits, axis=1, count=len(self.columns)).astype(np.float32) * size[:, None]
+        self.landmarks = np.unpackbits(bits, axis=1, count=len(self.columns)).astype(np.float32)
+        self.landmarks *= size[:, None]
 
     def products(self, found: list[np.ndarray]) -> np.ndarray:
         """The kernel of the batch and the landmarks as one matrix product, times the coefficients."""
