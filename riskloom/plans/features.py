@@ -20,7 +20,7 @@ from riskloom.operators.aggregates import Feature, entity_features, fills, summa
 from riskloom.operators.encode import ordinal_encode
 from riskloom.operators.joins import attach, membership_flags
 from riskloom.operators.records import first_record, latest_record
-from riskloom.operators.terms import VECTOR_SIZE, document_vectors, fit_word_vectors
+from riskloom.operators.terms import VECTOR_SIZE, WordVectors, document_vectors, fit_word_vectors
 from riskloom.session import stage
 from riskloom.sources.tables import ORDER
 
@@ -150,12 +150,12 @@ def with_dates(wide: DataFrame) -> DataFrame:
     })
 
 
-def text_vectors(tables: Mapping[str, DataFrame]) -> Word2VecModel:
+def text_vectors(tables: Mapping[str, DataFrame]) -> WordVectors:
     """Word vectors of the business scope, over all rounds of train and test."""
     return fit_word_vectors(tables["registration"], F.col("jyfw"))
 
 
-def build_features(tables: Mapping[str, DataFrame], word_vectors: Word2VecModel | None = None,
+def build_features(tables: Mapping[str, DataFrame], word_vectors: WordVectors | Word2VecModel | None = None,
                    latest_by: str = "text", approx_kinds: bool = False) -> DataFrame:
     """The whole feature table from the raw tables.
 
